@@ -27,8 +27,10 @@ def guarded_cast(c: Column | str, dtype: T.DataType) -> Column:
         return c.cast("string")
     if isinstance(dtype, _INTEGRAL):
         text = c.cast("string")
+        # Fast path: plain integer text. Only values it rejects (e.g. '360.0',
+        # 'NA') pay for the regex that accepts and truncates a fraction.
         whole = F.regexp_extract(text, _INTEGER_PART, 1)
-        return F.when(text.rlike(INTEGER_TEXT), whole.try_cast(dtype))
+        return F.coalesce(text.try_cast(dtype), F.when(text.rlike(INTEGER_TEXT), whole.try_cast(dtype)))
     if isinstance(dtype, _FRACTIONAL):
         return c.cast("string").try_cast(T.DoubleType()).cast(dtype)
     return c.try_cast(dtype)

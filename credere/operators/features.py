@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -30,6 +31,10 @@ from ..profile import Profile
 
 BROADCAST_MAX_LABELS = 1_000_000
 POLICIES = ("skip", "keep", "error")
+# Categorical indices above this arity enter tree learners as frequency-rank
+# ordinals instead of nominal features, so maxBins (and per-node bin
+# statistics) stay bounded. None = every index nominal (the original job).
+NOMINAL_MAX_ARITY = 4096
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -60,6 +65,8 @@ def fit_label_index(df: DataFrame, cols: list[str]) -> LabelIndex:
                                                   "column string, start long")
     labels = (ordered.join(F.broadcast(start_frame), "column")
               .select("column", "value", "count", (F.col("pos") - F.col("start")).cast("double").alias("index")))
+    # The fitted table is the model: cut its lineage once (reliable checkpoint).
+    labels = labels.checkpoint(eager=True)
     return LabelIndex(labels, {c: int(meta.get(c, (0, 0))[1]) for c in cols})
 
 
@@ -71,7 +78,7 @@ def nominal(col: str, name: str, num_vals: int):
 
 def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy: str = "skip",
                       suffix: str = "_index", broadcast_max: int = BROADCAST_MAX_LABELS,
-                      attach_metadata: bool = True) -> DataFrame:
+                      attach_metadata: bool = True, nominal_max_arity: int | None = None) -> DataFrame:
     """T1/T2/T10 apply: one equi-join per column.
 
     ``skip`` drops rows with a NULL or unseen value in any column (the
@@ -99,8 +106,8 @@ def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy:
                     F.concat(F.lit(f"unseen or NULL category in {c}: "), F.coalesce(F.col(k), F.lit("NULL")))
                 )).otherwise(F.col(v)).cast("double")
         df = df.withColumn(out_col, idx).drop(k, v)
-        if attach_metadata:
-            arity = index.arity[c] + (1 if policy == "keep" else 0)
+        arity = index.arity[c] + (1 if policy == "keep" else 0)
+        if attach_metadata and (nominal_max_arity is None or arity <= nominal_max_arity):
             df = df.withColumn(out_col, nominal(out_col, out_col, max(arity, 1)))
     return df
 
@@ -144,16 +151,22 @@ class FeatureModel:
     stages: PipelineModel
     policy: str = "skip"
     broadcast_max: int = BROADCAST_MAX_LABELS
+    nominal_max_arity: int | None = None
     extra: dict = field(default_factory=dict)
 
     @property
     def categorical(self) -> list[str]:
         return self.low_card + self.high_card
 
+    def nominal_columns(self) -> list[str]:
+        extra = 1 if self.policy == "keep" else 0
+        cap = self.nominal_max_arity
+        return [c for c in self.categorical if cap is None or self.index.arity[c] + extra <= cap]
+
     def max_bins(self, floor: int = 32) -> int:
         """Smallest legal ``maxBins`` for tree learners (arity of every nominal index)."""
         extra = 1 if self.policy == "keep" else 0
-        return max([floor] + [self.index.arity[c] + extra for c in self.categorical])
+        return max([floor] + [self.index.arity[c] + extra for c in self.nominal_columns()])
 
     def feature_names(self) -> list[str]:
         names = [f"{c}_scaled" for c in self.numeric]
@@ -165,7 +178,7 @@ class FeatureModel:
 
     def transform(self, df: DataFrame) -> DataFrame:
         indexed = apply_label_index(df, self.index, self.categorical, self.policy,
-                                    broadcast_max=self.broadcast_max)
+                                    broadcast_max=self.broadcast_max, nominal_max_arity=self.nominal_max_arity)
         return self.stages.transform(indexed)
 
     def save(self, path: str) -> None:
@@ -173,7 +186,7 @@ class FeatureModel:
         self.stages.write().overwrite().save(f"{path}/stages")
         meta = {"profile": self.profile_name, "low_card": self.low_card, "high_card": self.high_card,
                 "numeric": self.numeric, "arity": self.index.arity, "policy": self.policy,
-                "broadcast_max": self.broadcast_max}
+                "broadcast_max": self.broadcast_max, "nominal_max_arity": self.nominal_max_arity}
         spark = self.index.labels.sparkSession
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
@@ -183,7 +196,8 @@ class FeatureModel:
         labels = spark.read.parquet(f"{path}/labels")
         return cls(meta["profile"], meta["low_card"], meta["high_card"], meta["numeric"],
                    LabelIndex(labels, {k: int(v) for k, v in meta["arity"].items()}),
-                   PipelineModel.load(f"{path}/stages"), meta["policy"], meta["broadcast_max"])
+                   PipelineModel.load(f"{path}/stages"), meta["policy"], meta["broadcast_max"],
+                   meta.get("nominal_max_arity"))
 
 
 class FeatureBuilder:
@@ -191,7 +205,7 @@ class FeatureBuilder:
 
     def __init__(self, profile: Profile | None = None, low_card=None, high_card=None, numeric=None,
                  policy: str = "skip", broadcast_max: int = BROADCAST_MAX_LABELS,
-                 features_col: str = "features"):
+                 features_col: str = "features", nominal_max_arity: int | None = NOMINAL_MAX_ARITY):
         self.profile_name = profile.name if profile else "custom"
         self.low_card = list(low_card if low_card is not None else profile.low_card)
         self.high_card = list(high_card if high_card is not None else profile.high_card)
@@ -199,6 +213,7 @@ class FeatureBuilder:
         self.policy = policy
         self.broadcast_max = broadcast_max
         self.features_col = features_col
+        self.nominal_max_arity = nominal_max_arity
 
     def fit(self, train: DataFrame) -> FeatureModel:
         index = fit_label_index(train, self.low_card + self.high_card)
@@ -206,7 +221,8 @@ class FeatureBuilder:
         if single:
             raise ValueError(f"columns with one category cannot be one-hot encoded: {single}")
         indexed = apply_label_index(train, index, self.low_card + self.high_card, self.policy,
-                                    broadcast_max=self.broadcast_max)
+                                    broadcast_max=self.broadcast_max,
+                                    nominal_max_arity=self.nominal_max_arity).persist(StorageLevel.MEMORY_AND_DISK)
         low_idx = [c + "_index" for c in self.low_card]
         low_ohe = [c + "_OHE" for c in self.low_card]
         stages = [
@@ -217,8 +233,9 @@ class FeatureBuilder:
                             outputCol=self.features_col),
         ]
         model = Pipeline(stages=stages).fit(indexed)
+        indexed.unpersist()
         return FeatureModel(self.profile_name, self.low_card, self.high_card, self.numeric, index, model,
-                            self.policy, self.broadcast_max)
+                            self.policy, self.broadcast_max, self.nominal_max_arity)
 
 
 def hashed_features(df: DataFrame, cols: list[str], num_features: int = 1 << 18,

@@ -27,7 +27,7 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .evaluate import metric_bundle, score_from_raw
+from .evaluate import metric_bundle, score_from_raw  # noqa: F401
 
 SEED = 42
 MODEL_NAMES = ("Logistic Regression", "Support Vector Machine", "Factorization Machine",

@@ -5,6 +5,7 @@ from __future__ import annotations
 from ..session import ensure_checkpoint_dir
 from . import catalog_clean  # noqa: F401
 from . import catalog_features  # noqa: F401
+from . import catalog_models  # noqa: F401
 from .registry import ORACLE, QUERIES
 
 

@@ -16,6 +16,7 @@ from ..operators.split import hash_split
 from ..operators.tracking import Tracker, leaderboard
 from ..profile import LINEITEM as PR
 from ..session import scratch_path
+from ..sources.delimited import stage_table
 from .catalog_clean import _sql, cleaned, typed
 from .registry import register
 from .sql import split_bucket_sql
@@ -28,7 +29,9 @@ ARITY_DOMAIN = {"l_linestatus": 2, "l_linenumber": 7}   # fixed by the data's do
 
 
 def train_test(spark, sf):
-    return hash_split(cleaned(spark, sf), "l_orderkey", 80)
+    """Cleaned table staged as Parquet in the shared folder, then split by stable hash."""
+    staged = stage_table(cleaned(spark, sf), scratch_path(spark, "cleaned"))
+    return hash_split(staged, "l_orderkey", 80)
 
 
 # ------------------------------------------------------------ SQL building blocks
