@@ -23,13 +23,15 @@ from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import global_position
 from ..profile import Profile
 
 BROADCAST_MAX_LABELS = 1_000_000
+# Largest per-column label count ranked inside one task (bounded sort).
+WINDOW_RANK_MAX = 1_000_000
 POLICIES = ("skip", "keep", "error")
 # Categorical indices above this arity enter tree learners as frequency-rank
 # ordinals instead of nominal features, so maxBins (and per-node bin
@@ -54,20 +56,29 @@ class LabelIndex:
         return self.labels.filter(F.col("column") == F.lit(col)).select("value", "index")
 
 
-def fit_label_index(df: DataFrame, cols: list[str]) -> LabelIndex:
-    """T1/T2 fit: frequency-descending index per column, ties by text."""
-    counts = category_counts(df, cols)
-    ordered = global_position(counts, [F.col("column"), F.desc("count"), F.asc("value")], "pos")
-    starts = ordered.groupBy("column").agg(F.min("pos").alias("start"), F.count(F.lit(1)).alias("arity"))
-    # one row per categorical column: bounded, safe to collect and broadcast
-    meta = {r["column"]: (r["start"], r["arity"]) for r in starts.collect()}
-    start_frame = df.sparkSession.createDataFrame([(c, s) for c, (s, _) in meta.items()],
-                                                  "column string, start long")
-    labels = (ordered.join(F.broadcast(start_frame), "column")
-              .select("column", "value", "count", (F.col("pos") - F.col("start")).cast("double").alias("index")))
+def fit_label_index(df: DataFrame, cols: list[str], window_rank_max: int = WINDOW_RANK_MAX) -> LabelIndex:
+    """T1/T2 fit: frequency-descending index per column, ties by text.
+
+    The (column, value, count) table is computed in one pass and checkpointed.
+    When every column's arity is at most ``window_rank_max`` the ranks come
+    from a window partitioned by column (one sort of at most that many rows per
+    task); otherwise from the distributed global position, so no task ever
+    sorts an unbounded column.
+    """
+    counts = category_counts(df, cols).checkpoint(eager=True)
+    # one row per categorical column: bounded, safe to collect
+    arity = {r["column"]: int(r["n"]) for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+    if not arity or max(arity.values()) <= window_rank_max:
+        w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
+        labels = counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
+    else:
+        ordered = global_position(counts, [F.col("column"), F.desc("count"), F.asc("value")], "pos")
+        starts = ordered.groupBy("column").agg(F.min("pos").alias("start"))
+        labels = (ordered.join(F.broadcast(starts), "column")
+                  .select("column", "value", "count", (F.col("pos") - F.col("start")).cast("double").alias("index")))
     # The fitted table is the model: cut its lineage once (reliable checkpoint).
-    labels = labels.checkpoint(eager=True)
-    return LabelIndex(labels, {c: int(meta.get(c, (0, 0))[1]) for c in cols})
+    labels = labels.select("column", "value", "count", "index").checkpoint(eager=True)
+    return LabelIndex(labels, {c: arity.get(c, 0) for c in cols})
 
 
 def nominal(col: str, name: str, num_vals: int):

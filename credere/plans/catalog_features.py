@@ -28,10 +28,14 @@ NUM = list(PR.numeric)
 ARITY_DOMAIN = {"l_linestatus": 2, "l_linenumber": 7}   # fixed by the data's domain
 
 
-def train_test(spark, sf):
-    """Cleaned table staged as Parquet in the shared folder, then split by stable hash."""
-    staged = stage_table(cleaned(spark, sf), scratch_path(spark, "cleaned"))
-    return hash_split(staged, "l_orderkey", 80)
+def staged_clean(spark, sf):
+    """Cleaned table staged as Parquet in the shared folder (lineage cut, like the original job)."""
+    return stage_table(cleaned(spark, sf), scratch_path(spark, "cleaned"))
+
+
+def train_test(spark, sf, staged=None):
+    """Stable 80/20 split of the staged cleaned table."""
+    return hash_split(staged if staged is not None else staged_clean(spark, sf), "l_orderkey", 80)
 
 
 # ------------------------------------------------------------ SQL building blocks

@@ -20,17 +20,17 @@ from ..session import scratch_path
 from ..sources.tables import dirty_lineitem_columns, table
 from ..streaming.score_stream import score_stream
 from .catalog_clean import EXACT
-from .catalog_features import train_test
+from .catalog_features import staged_clean, train_test
 from .cleaning import clean_table
 from .registry import register
 
 KEEP = ["l_orderkey", "l_linenumber", "label"]
 
 
-def _features(spark, sf):
+def _features(spark, sf, staged=None):
     """Fitted feature model and the two feature frames, persisted for the trainers'
     repeated passes (MEMORY_AND_DISK: lost blocks are recomputed from lineage)."""
-    train, test = train_test(spark, sf)
+    train, test = train_test(spark, sf, staged)
     fm = T.FeatureBuilder(PR).fit(train)
     cols = KEEP + ["features"]
     ftrain = fm.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
@@ -82,16 +82,15 @@ def q_tune_gbt(spark, sf):
 def q_bulk_score(spark, sf):
     """X1 + S6/S7: save the feature model and classifier, load both, score the whole cleaned table
     and write the scores as Parquet."""
-    fm, train, _ = _features(spark, sf)
+    staged = staged_clean(spark, sf)
+    fm, train, _ = _features(spark, sf, staged)
     lr = M.estimator("Logistic Regression").fit(train)
     root = scratch_path(spark, "models")
     fm.save(f"{root}/features")
     lr.write().overwrite().save(f"{root}/lr")
     fm2 = T.FeatureModel.load(spark, f"{root}/features")
     lr2 = LogisticRegressionModel.load(f"{root}/lr")
-    cleaned = clean_table(table(spark, sf, "lineitem").transform(dirty_lineitem_columns), PR,
-                          relative_error=EXACT).df
-    return X.bulk_score(cleaned, fm2, lr2, KEEP, out_path=f"{root}/scored")
+    return X.bulk_score(staged, fm2, lr2, KEEP, out_path=f"{root}/scored")
 
 
 @register("stream_score")

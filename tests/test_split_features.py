@@ -89,3 +89,13 @@ def test_nominal_metadata_bounded(spark):
     assert fm.max_bins() == 32 and fm.nominal_columns() == ["c"]
     fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"], nominal_max_arity=None).fit(df)
     assert fm.max_bins() == 50
+
+
+def test_label_index_global_path_equals_window_path(spark):
+    df = spark.range(0, 5000).select((F.col("id") * 31 % 97).cast("string").alias("a"),
+                                     (F.col("id") % 13).cast("int").alias("b"))
+    small = T.fit_label_index(df, ["a", "b"])
+    forced = T.fit_label_index(df, ["a", "b"], window_rank_max=1)   # distributed positions
+    a = {(r["column"], r["value"], r["index"]) for r in small.labels.collect()}
+    b = {(r["column"], r["value"], r["index"]) for r in forced.labels.collect()}
+    assert a == b and small.arity == forced.arity == {"a": 97, "b": 13}
