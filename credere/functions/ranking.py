@@ -12,13 +12,21 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def stable_bucket(key: Column | str, buckets: int) -> Column:
+def key_text(key: Column | str | list[str]) -> Column:
+    """One column, or several joined as text (NULL as empty) - a content key."""
+    if isinstance(key, (list, tuple)):
+        return F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in key])
+    return F.col(key) if isinstance(key, str) else key
+
+
+def stable_bucket(key: Column | str | list[str], buckets: int) -> Column:
     """Bucket in [0, buckets) from the first 32 bits of md5(key as text).
 
     Unlike ``randomSplit``/``sample`` it does not move rows when the input is
     re-partitioned, and any SQL engine with md5 computes the same bucket.
+    A list of columns hashes the row content (for tables without an id).
     """
-    key = F.col(key) if isinstance(key, str) else key
+    key = key_text(key)
     h = F.conv(F.substring(F.md5(key.cast("string")), 1, 8), 16, 10).cast("bigint")
     return (h % F.lit(buckets)).cast("int")
 

@@ -17,7 +17,7 @@ def top_k(df: DataFrame, order: list[Column], k: int) -> DataFrame:
     return df.orderBy(*order).limit(k)
 
 
-def hash_split(df: DataFrame, key: str, train_percent: int = 80,
+def hash_split(df: DataFrame, key, train_percent: int = 80,
                column: str | None = None) -> tuple[DataFrame, DataFrame] | DataFrame:
     """Split by a stable hash of ``key`` (no shuffle, no sort).
 
@@ -32,7 +32,7 @@ def hash_split(df: DataFrame, key: str, train_percent: int = 80,
     return df.filter(is_train), df.filter(~is_train)
 
 
-def hash_sample(df: DataFrame, key: str, fraction: float) -> DataFrame:
+def hash_sample(df: DataFrame, key, fraction: float) -> DataFrame:
     """Keep the keys whose stable bucket falls under ``fraction``."""
     cut = int(round(fraction * SAMPLE_BUCKETS))
     return df.filter(stable_bucket(key, SAMPLE_BUCKETS) < F.lit(cut))

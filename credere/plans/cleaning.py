@@ -44,7 +44,7 @@ def clean_table(raw: DataFrame, profile: Profile, fit_on: str = "all", strict_la
     elif fit_on == "filtered":
         source = row_filters(typed, profile)
     elif fit_on == "train":
-        source = hash_split(typed, profile.key, train_percent)[0]
+        source = hash_split(typed, profile.split_key, train_percent)[0]
     else:
         raise ValueError(f"fit_on must be all, filtered or train, not {fit_on!r}")
     model = fit_impute(source, profile.median_cols, profile.mean_cols, profile.mode_cols,

@@ -38,7 +38,7 @@ class Profile:
     sentinel_cols: tuple[str, ...] = ()  # "NA" means missing -> row dropped
     sentinel: str = "NA"
     drop_cols: tuple[str, ...] = ()      # selected from the raw file, then dropped
-    key: str | None = None               # split / row key
+    key: str | None = None               # split / row key (None: hash of all columns)
     dropna_cols: tuple[str, ...] = ()    # exploration drop (F8)
     extra: dict = field(default_factory=dict)
 
@@ -64,6 +64,10 @@ class Profile:
     def raw_schema(self) -> T.StructType:
         return T.StructType([T.StructField(c, T.StringType(), True) for c in self.raw_columns])
 
+    @property
+    def split_key(self):
+        return self.key if self.key else self.names
+
     @property
     def categorical(self) -> list[str]:
         return list(self.low_card) + list(self.high_card)
@@ -107,7 +111,7 @@ LOAN = Profile(
     nonzero_cols=("property_value", "total_units"),
     sentinel_cols=("state_code", "county_code"),
     drop_cols=("activity_year",),
-    key="lei",
+    key=None,   # no application id: split on a hash of the row content
     dropna_cols=("income", "loan_amount", "interest_rate", "loan_term"),
 )
 
