@@ -8,6 +8,7 @@ a plain projection that also works on streams).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
@@ -15,12 +16,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import value_or_null
+from ..functions.ranking import exclusive_prefix_sum
 from .quality import mode_value
 
-# Exact for tables under this many rows; beyond, the rank error is at most
-# rows / EXACT_ACCURACY (GK sketch, bounded memory, mergeable).
-EXACT_ACCURACY = 1_000_000
-
 
 def nonzero_filter(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """``c != 0``; NULL rows go too (three-valued logic)."""
@@ -68,28 +66,53 @@ class ImputeModel:
         return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5):
+    """Exact discrete quantile (the ceil(q*n)-th smallest non-missing value) at any scale.
+
+    Values are counted per distinct value (partial aggregation), the counts
+    get a distributed prefix sum, and the one group holding rank ceil(q*n) is
+    selected - no task ever sorts the raw column.
+    """
+    dtype = df.schema[col].dataType
+    vals = df.select(value_or_null(col, dtype).cast("double").alias("v")).filter(F.col("v").isNotNull())
+    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
+    ranked = exclusive_prefix_sum(counts, [F.col("v")], "n", "below")
+    total = ranked.agg(F.sum("n").alias("t")).first()["t"]
+    if not total:
+        return None
+    k = max(1, math.ceil(q * total))
+    hit = ranked.filter((F.col("below") < F.lit(k)) & (F.col("below") + F.col("n") >= F.lit(k)))
+    return hit.agg(F.min("v").alias("v")).first()["v"]
+
+
 def fit_impute(df: DataFrame, median: Iterable[str] = (), mean: Iterable[str] = (),
                mode: Iterable[str] = (), relative_error: float = 0.001,
                mode_null_counts: bool = True) -> ImputeModel:
-    """Fit medians and means in ONE aggregate scan; each mode is one small aggregation.
+    """Fit approximate medians and means in ONE aggregate scan; each mode is one small aggregation.
 
-    ``relative_error=0`` asks for an exact median; it is served by a GK sketch
-    whose accuracy makes it exact below ``EXACT_ACCURACY`` rows.
+    ``relative_error > 0`` uses the mergeable GK sketch (``Imputer`` default
+    0.001). ``relative_error=0`` asks for the exact median, computed by
+    :func:`exact_quantile` (one counting aggregation per column).
     """
     median, mean, mode = list(median), list(mean), list(mode)
     types = {f.name: f.dataType for f in df.schema.fields}
-    accuracy = EXACT_ACCURACY if relative_error <= 0 else max(1, int(round(1.0 / relative_error)))
+    exact = relative_error <= 0
     aggs = []
-    for c in median:
-        aggs.append(F.percentile_approx(value_or_null(c, types[c]).cast("double"), F.lit(0.5),
-                                        F.lit(accuracy)).alias(f"median_{c}"))
+    if not exact:
+        accuracy = max(1, int(round(1.0 / relative_error)))
+        for c in median:
+            aggs.append(F.percentile_approx(value_or_null(c, types[c]).cast("double"), F.lit(0.5),
+                                            F.lit(accuracy)).alias(f"median_{c}"))
     for c in mean:
         aggs.append(F.avg(value_or_null(c, types[c]).cast("double")).alias(f"mean_{c}"))
     model = ImputeModel()
     if aggs:
         row = df.agg(*aggs).first()
-        model.median = {c: row[f"median_{c}"] for c in median}
+        if not exact:
+            model.median = {c: row[f"median_{c}"] for c in median}
         model.mean = {c: row[f"mean_{c}"] for c in mean}
+    if exact:
+        model.median = {c: exact_quantile(df, c, 0.5) for c in median}
     model.mode = {c: mode_value(df, c, null_counts=mode_null_counts) for c in mode}
     return model
 

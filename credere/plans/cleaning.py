@@ -37,14 +37,18 @@ def row_filters(df: DataFrame, profile: Profile) -> DataFrame:
 
 
 def clean_table(raw: DataFrame, profile: Profile, fit_on: str = "all", strict_label: bool = False,
-                relative_error: float = 0.001, train_percent: int = 80) -> Cleaned:
+                relative_error: float = 0.001, train_percent: int = 80,
+                fit_raw: DataFrame | None = None) -> Cleaned:
+    """``fit_raw`` (default ``raw``) is the frame the statistics are fitted on - the same rows,
+    possibly planned differently (e.g. ``raw`` spread over more partitions for the row-wise pass)."""
     typed = typed_table(raw, profile)
+    fit_typed = typed if fit_raw is None else typed_table(fit_raw, profile)
     if fit_on == "all":
-        source = typed
+        source = fit_typed
     elif fit_on == "filtered":
-        source = row_filters(typed, profile)
+        source = row_filters(fit_typed, profile)
     elif fit_on == "train":
-        source = hash_split(typed, profile.split_key, train_percent)[0]
+        source = hash_split(fit_typed, profile.split_key, train_percent)[0]
     else:
         raise ValueError(f"fit_on must be all, filtered or train, not {fit_on!r}")
     model = fit_impute(source, profile.median_cols, profile.mean_cols, profile.mode_cols,

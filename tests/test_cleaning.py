@@ -111,3 +111,14 @@ def test_single_projection_cast(spark):
     typed = P.typed_cast(spark.createDataFrame([tuple(["1"] * len(LOAN.names))], schema), LOAN)
     assert [f.dataType for f in typed.schema.fields] == [f.dataType for f in LOAN.typed_schema.fields]
     assert typed.select(F.col("loan_amount")).first()[0] == 1.0
+
+
+def test_exact_quantile_matches_sorted_rank(spark):
+    import random
+    rnd = random.Random(3)
+    vals = [float(rnd.randint(0, 40)) for _ in range(1001)] + [None, float("nan")]
+    df = _one(spark, vals, "double")
+    clean = sorted(v for v in vals if v is not None and v == v)
+    assert C.exact_quantile(df, "x", 0.5) == clean[(len(clean) + 1) // 2 - 1]
+    assert C.exact_quantile(df, "x", 0.9) == clean[math.ceil(0.9 * len(clean)) - 1]
+    assert C.exact_quantile(_one(spark, [None], "double"), "x") is None
