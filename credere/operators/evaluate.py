@@ -77,21 +77,19 @@ def auc_binned(df: DataFrame, label: str = "label", raw_col: str = "rawPredictio
 
 def metric_bundle(df: DataFrame, label: str = "label", prediction: str = "prediction",
                   score: str = "score", digits: int | None = None) -> DataFrame:
-    """(metric, value) for accuracy, weighted precision/recall/F1 and AUC."""
-    wide = _wide(df, label, prediction, score)
-    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS])
-    out = wide.select(F.inline(rows))
+    """(metric, value) for accuracy, weighted precision/recall/F1 and AUC.
+
+    The two one-row aggregates are turned into rows and unioned - no join.
+    """
+    cls = classification_metrics(df, label, prediction)
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("value")) for m in METRICS[:4]])
+    auc = auc_exact(df, label, score).select(F.lit("areaUnderROC").alias("metric"),
+                                             F.col("areaUnderROC").alias("value"))
+    out = cls.select(F.inline(rows)).unionByName(auc)
     if digits is not None:
         out = out.withColumn("value", F.round("value", digits))
     return out
 
 
-def _wide(df, label, prediction, score):
-    # both sides are single-row aggregates; join them on a constant key
-    a = classification_metrics(df, label, prediction).withColumn("_one", F.lit(1))
-    b = auc_exact(df, label, score).withColumn("_one", F.lit(1))
-    return a.join(F.broadcast(b), "_one").drop("_one")
-
-
 def metrics_dict(df: DataFrame, **kw) -> dict[str, float]:
     return {r["metric"]: r["value"] for r in metric_bundle(df, **kw).collect()}
