@@ -439,3 +439,65 @@ def q_decode_codes(spark, sf):
     """Code -> text through literal maps."""
     df = typed(spark, sf).select("l_orderkey", F.col("l_linenumber").alias("line"), "l_returnflag", "l_linestatus")
     return X.decode_codes(df, DECODE_MAPS, default="unknown")
+
+
+# ------------------------------------------------------------ A1: row counts at each stage of the job
+def _row_counts_sql():
+    ex = dict(SPLIT)
+    body = " UNION ALL ".join([
+        "SELECT 'raw' AS stage, CAST(count(*) AS BIGINT) AS \"rows\" FROM raw",
+        "SELECT 'typed', CAST(count(*) AS BIGINT) FROM typed",
+        "SELECT 'cleaned', CAST(count(*) AS BIGINT) FROM clean",
+        "SELECT 'train', CAST(count(*) AS BIGINT) FROM train",
+        "SELECT 'test', CAST(count(*) AS BIGINT) FROM test"])
+    return _sql(body, extra=ex)
+
+
+@register("row_counts", _row_counts_sql())
+def q_row_counts(spark, sf):
+    """A1: rows after each stage (raw, typed, cleaned, train, test) - the counts the original
+    notebooks checked by eye, as one table; raw/typed in one scan, the rest on the staged table."""
+    from ..operators.quality import row_count
+    from .catalog_clean import raw
+    staged = staged_clean(spark, sf)
+    train, test = train_test(spark, sf, staged)
+    parts = [(row_count(raw(spark, sf)), "raw"), (row_count(typed(spark, sf)), "typed"),
+             (row_count(staged), "cleaned"), (row_count(train), "train"), (row_count(test), "test")]
+    out = None
+    for df, stage in parts:
+        df = df.select(F.lit(stage).alias("stage"), "rows")
+        out = df if out is None else out.unionByName(df)
+    return out
+
+
+# ------------------------------------------------------------ T7: exploration assemble + scale
+_EXPLORE_DROP = ["l_quantity", "l_discount"]
+_EXPLORE_MEAN = ["l_quantity", "l_extendedprice", "l_tax"]
+
+
+@register("explore_scale", None)
+def q_explore_scale(spark, sf):
+    """T7 (+F8, I3): any-NULL drop, mean imputation in place, then a second numeric
+    assemble + standard scale fitted on all remaining rows."""
+    from ..operators import clean as C
+    df = C.dropna_any(typed(spark, sf), _EXPLORE_DROP)
+    df = C.impute(df, mean=_EXPLORE_MEAN)[0]
+    vec = VectorAssembler(inputCols=NUM, outputCol="features").transform(df)
+    scaled = StandardScaler(inputCol="features", outputCol="scaled_features").fit(vec).transform(vec)
+    return T.vector_columns(scaled.withColumn("line", F.col("l_linenumber")), "scaled_features",
+                            [f"{c}_scaled" for c in NUM], ["l_orderkey", "line"])
+
+
+def _explore_sql():
+    from .sql import no_nan
+    dropped = " AND ".join(f"{c} IS NOT NULL AND NOT isnan({c})" for c in _EXPLORE_DROP)
+    exprs = [f"COALESCE({no_nan(c, t)}, (SELECT avg({no_nan(c, t)}) FROM d)) AS {c}" if c in _EXPLORE_MEAN else c
+             for c, t in PR.columns]
+    ex = {"d": f"SELECT * FROM typed WHERE {dropped}", "m": "SELECT " + ", ".join(exprs) + " FROM d"}
+    ex["sd"] = "SELECT " + ", ".join(f"stddev_samp({c}) AS sd_{c}" for c in NUM) + " FROM m"
+    parts = [f"round(CASE WHEN (SELECT sd_{c} FROM sd) = 0 THEN CAST(0 AS DOUBLE) ELSE {c} / (SELECT sd_{c} FROM sd) "
+             f"END, 6) AS {c}_scaled" for c in NUM]
+    return _sql(f"SELECT l_orderkey, l_linenumber AS line, {', '.join(parts)} FROM m", upto="typed", extra=ex)
+
+
+_ORACLE["explore_scale"] = _explore_sql()
