@@ -10,7 +10,7 @@ plus a distributed prefix sum gives the exact area under ROC (equal to
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.ranking import exclusive_prefix_sum
@@ -50,15 +50,24 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
         (F.sum(F.col("n_true") * F.col("f")) / total).alias("f1"))
 
 
-def auc_exact(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
+def auc_exact(df: DataFrame, label: str = "label", score: str = "score",
+              window_rank_max: int = 1_000_000) -> DataFrame:
     """E5: exact area under ROC by the mid-rank formula (ties count one half).
 
     Rows are first aggregated by distinct score, then each score group gets
-    the count of rows strictly below it from a distributed prefix sum.
+    the count of rows strictly below it: from one ordered window when there are
+    at most ``window_rank_max`` distinct scores, else from a distributed prefix
+    sum (no single task ever sees an unbounded number of scores).
     """
     groups = (df.groupBy(F.col(score).cast("double").alias("s"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")))
-    ranked = exclusive_prefix_sum(groups, [F.col("s")], "n", "below")
+    distinct_scores = groups.count()
+    if distinct_scores <= window_rank_max:
+        # bounded (checked above): one ordered window over the distinct scores
+        before = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
+        ranked = groups.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+    else:
+        ranked = exclusive_prefix_sum(groups, [F.col("s")], "n", "below")
     midrank = F.col("below") + (F.col("n") + 1) / 2.0
     agg = ranked.agg(F.sum(F.col("pos") * midrank).alias("rank_sum"),
                      F.sum("pos").cast("double").alias("P"),

@@ -122,3 +122,11 @@ def test_exact_quantile_matches_sorted_rank(spark):
     assert C.exact_quantile(df, "x", 0.5) == clean[(len(clean) + 1) // 2 - 1]
     assert C.exact_quantile(df, "x", 0.9) == clean[math.ceil(0.9 * len(clean)) - 1]
     assert C.exact_quantile(_one(spark, [None], "double"), "x") is None
+
+
+def test_exact_quantile_distributed_path(spark, monkeypatch):
+    vals = [float(v % 97) for v in range(2000)]
+    df = _one(spark, vals, "double")
+    small = C.exact_quantile(df, "x", 0.5)
+    monkeypatch.setattr(C, "WINDOW_RANK_MAX", 1)
+    assert C.exact_quantile(df, "x", 0.5) == small == sorted(vals)[999]

@@ -101,3 +101,11 @@ def test_rejected_rows(spark):
     inputs = X.with_row_id(spark.createDataFrame([(1,), (2,), (3,)], "v int"))
     scored = inputs.filter(F.col("v") != 2)
     assert [r.v for r in X.rejected_rows(inputs, scored).collect()] == [2]
+
+
+def test_auc_distributed_path_equals_window_path(spark):
+    df = spark.range(0, 3000).select((F.rand(5) > 0.5).cast("int").alias("label"),
+                                     F.round(F.rand(6) * 50).alias("score"))
+    a = E.auc_exact(df).first().areaUnderROC
+    b = E.auc_exact(df, window_rank_max=1).first().areaUnderROC
+    assert math.isclose(a, b, rel_tol=1e-12)
