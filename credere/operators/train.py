@@ -54,7 +54,8 @@ def estimator(name: str, features_col: str = "features", label_col: str = "label
     elif name == "Decision Tree":
         est = DecisionTreeClassifier(**common, **trees)
     elif name == "Random Forest":
-        est = RandomForestClassifier(**common, **trees)
+        # node ids cached between levels (checkpointed every 10 iterations to the shared folder)
+        est = RandomForestClassifier(cacheNodeIds=True, **common, **trees)
     elif name == "Gradient Boosting Trees":
         est = GBTClassifier(**common, **trees)
     elif name == "Naive Bayes":
@@ -91,7 +92,7 @@ def sweep(train: DataFrame, test: DataFrame, names=MODEL_NAMES, label_col: str =
     """
     keep = keep or [label_col]
     train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)
+    test = test.persist(StorageLevel.MEMORY_AND_DISK)   # scored once per model
     results = {}
     try:
         for name in names:

@@ -28,13 +28,14 @@ KEEP = ["l_orderkey", "l_linenumber", "label"]
 
 
 def _features(spark, sf, staged=None):
-    """Fitted feature model and the two feature frames, persisted for the trainers'
-    repeated passes (MEMORY_AND_DISK: lost blocks are recomputed from lineage)."""
+    """Fitted feature model and the two feature frames. The training frame is persisted for
+    the trainers' repeated passes (MEMORY_AND_DISK: lost blocks are recomputed from lineage);
+    callers release it after fitting. The held-out frame is read once and not cached."""
     train, test = train_test(spark, sf, staged)
     fm = T.FeatureBuilder(PR).fit(train)
     cols = KEEP + ["features"]
     ftrain = fm.transform(train).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
-    ftest = fm.transform(test).select(*cols).persist(StorageLevel.MEMORY_AND_DISK)
+    ftest = fm.transform(test).select(*cols)
     return fm, ftrain, ftest
 
 
@@ -43,6 +44,7 @@ def _fit_query(name):
         fm, train, test = _features(spark, sf)
         est = M.estimator(name, max_bins=fm.max_bins(), n_features=len(fm.feature_names()))
         model = est.fit(train)
+        train.unpersist()
         return M.predict(model, test, KEEP)
     q.__doc__ = f"{name}: fit on the training side, score the held-out side."
     return q
@@ -75,6 +77,7 @@ def q_tune_gbt(spark, sf):
     gbt = M.estimator("Gradient Boosting Trees", max_bins=fm.max_bins(), n_features=len(fm.feature_names()))
     grid = M.param_grid(gbt, {"maxDepth": [3, 5], "stepSize": [0.1, 0.2]})
     tuned = M.tune(gbt, grid, train, parallelism=2)
+    train.unpersist()
     return M.predict(tuned.bestModel, test, KEEP)
 
 
@@ -85,6 +88,7 @@ def q_bulk_score(spark, sf):
     staged = staged_clean(spark, sf)
     fm, train, _ = _features(spark, sf, staged)
     lr = M.estimator("Logistic Regression").fit(train)
+    train.unpersist()
     root = scratch_path(spark, "models")
     fm.save(f"{root}/features")
     lr.write().overwrite().save(f"{root}/lr")
@@ -126,6 +130,7 @@ def q_score_rows(spark, sf):
     defaulted to 0, then scored (the form's path, for a whole table)."""
     fm, train, _ = _features(spark, sf)
     lr = M.estimator("Logistic Regression").fit(train)
+    train.unpersist()
     _, test = train_test(spark, sf)
     schema_cols = [c for c in PR.names if c != PR.label_code]
     rows = test.select(*schema_cols, F.lit(None).cast("int").alias("label"))
