@@ -19,7 +19,7 @@ from ..session import scratch_path
 from ..sources.delimited import stage_table
 from ..sources.tables import balanced, dirty_lineitem_columns, table
 from .catalog_clean import EXACT, _sql, cleaned, typed
-from .cleaning import clean_table
+from .cleaning import clean_typed, typed_table
 from .registry import register
 from .sql import split_bucket_sql
 
@@ -31,16 +31,16 @@ ARITY_DOMAIN = {"l_linestatus": 2, "l_linenumber": 7}   # fixed by the data's do
 
 
 def staged_clean(spark, sf):
-    """Cleaned table staged as Parquet in the shared folder (lineage cut, like the original job).
+    """Cleaned table over a typed table staged as Parquet in the shared folder (lineage cut).
 
-    Statistics are fitted on the scan as it is (partial aggregation, cheap); the
-    row-wise cast/impute/filter pass reads a ``balanced`` scan, which spreads the
-    rows only when the input has fewer splits than the cluster has cores.
+    The raw scan is cast once and written (spread over the cores only when the
+    input has fewer splits than that); the imputation statistics - still over
+    all typed rows, before the filters - and the narrow impute/filter/label
+    steps then read the staged files in parallel.
     """
-    scan = table(spark, sf, "lineitem")
-    out = clean_table(dirty_lineitem_columns(balanced(scan)), PR, relative_error=EXACT,
-                      fit_raw=dirty_lineitem_columns(scan)).df
-    return stage_table(out, scratch_path(spark, "cleaned"))
+    scan = balanced(table(spark, sf, "lineitem"))
+    staged = stage_table(typed_table(dirty_lineitem_columns(scan), PR), scratch_path(spark, "typed"))
+    return clean_typed(staged, PR, relative_error=EXACT).df
 
 
 def train_test(spark, sf, staged=None):

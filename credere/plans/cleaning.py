@@ -43,6 +43,14 @@ def clean_table(raw: DataFrame, profile: Profile, fit_on: str = "all", strict_la
     possibly planned differently (e.g. ``raw`` spread over more partitions for the row-wise pass)."""
     typed = typed_table(raw, profile)
     fit_typed = typed if fit_raw is None else typed_table(fit_raw, profile)
+    return clean_typed(typed, profile, fit_on, strict_label, relative_error, train_percent, fit_typed)
+
+
+def clean_typed(typed: DataFrame, profile: Profile, fit_on: str = "all", strict_label: bool = False,
+                relative_error: float = 0.001, train_percent: int = 80,
+                fit_typed: DataFrame | None = None) -> Cleaned:
+    """The cleaning steps after the cast (impute -> filter -> label), e.g. on a staged typed table."""
+    fit_typed = typed if fit_typed is None else fit_typed
     if fit_on == "all":
         source = fit_typed
     elif fit_on == "filtered":
