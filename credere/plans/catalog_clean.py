@@ -18,7 +18,7 @@ from ..operators import split as L
 from ..profile import LINEITEM as PR
 from ..session import scratch_path
 from ..sources import delimited as S
-from ..sources.tables import raw_lineitem, table
+from ..sources.tables import balanced, dirty_lineitem_columns, raw_lineitem, table
 from .cleaning import clean_table, typed_table
 from .registry import register
 from .sql import cast_sql, ctes, missing_sql, no_nan, split_bucket_sql, with_ctes
@@ -34,6 +34,12 @@ def typed(spark, sf):
     return typed_table(raw(spark, sf), PR)
 
 
+def typed_spread(spark, sf):
+    """``typed`` over a balanced scan, for single-pass aggregates whose per-row work (Expand,
+    partial aggregation) dominates; a no-op when the input already has enough splits."""
+    return typed_table(dirty_lineitem_columns(balanced(table(spark, sf, "lineitem"))), PR)
+
+
 def cleaned(spark, sf, fit_on="all"):
     return clean_table(raw(spark, sf), PR, fit_on=fit_on, relative_error=EXACT).df
 
@@ -102,7 +108,7 @@ def _profile_sql():
 @register("column_profile", _profile_sql())
 def q_column_profile(spark, sf):
     """Name, type, rows, missing and distinct per column from one aggregate."""
-    return P.column_profile(typed(spark, sf))
+    return P.column_profile(typed_spread(spark, sf))
 
 
 @register("label_binarise", _sql(
@@ -199,13 +205,13 @@ def _census_sql(nan, sentinel):
 @register("missing_census", _census_sql(True, "NA"))
 def q_missing_census(spark, sf):
     """A2: NULL, NaN or 'NA' per column, type-aware, one row."""
-    return Q.missing_census(typed(spark, sf))
+    return Q.missing_census(typed_spread(spark, sf))
 
 
 @register("null_census", _census_sql(False, None))
 def q_null_census(spark, sf):
     """A3: NULL-only census."""
-    return Q.missing_census(typed(spark, sf), nan=False, sentinel=None)
+    return Q.missing_census(typed_spread(spark, sf), nan=False, sentinel=None)
 
 
 @register("group_count", _sql('SELECT l_linenumber, CAST(count(*) AS BIGINT) AS "count" FROM typed '
@@ -246,7 +252,7 @@ def _distinct_sql():
 @register("distinct_counts", _distinct_sql())
 def q_distinct_counts(spark, sf):
     """Every column's distinct count (NULL counted as a value) in one aggregate."""
-    return Q.distinct_counts(typed(spark, sf))
+    return Q.distinct_counts(typed_spread(spark, sf))
 
 
 @register("class_balance", _sql('SELECT label, CAST(count(*) AS BIGINT) AS "count", '
