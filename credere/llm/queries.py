@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from credere.llm.bpe import bpe_report
+from credere.llm.chat import rotate
 from credere.llm.common import documents
 from credere.llm.decontam import leak_report
+from credere.llm.exact_dedup import exact_report
 from credere.llm.line_dedup import line_report
+from credere.llm.secrets import secret_report
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -25,6 +28,18 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_report(documents(spark, sf_dir), tokenizer_path())
 
 
+def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(documents(spark, sf_dir, "conversations"))
+
+
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(documents(spark, sf_dir))
+
+
+def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_report(documents(spark, sf_dir))
+
+
 def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leak_report(documents(spark, sf_dir), documents(spark, sf_dir, "benchmark"))
 
@@ -32,6 +47,9 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
+    "op4_chat_perspectives": op4_chat_perspectives,
+    "op7_secret_scan": op7_secret_scan,
+    "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
 }
 
@@ -49,6 +67,22 @@ marked as (select k.doc_id, k.i, k.line, c.key is not null as gone from keyed k
 select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id""",
+    "op4_chat_perspectives": """
+with said as (select distinct conv_id, turn, case when coalesce(role, '') = '' then 'unknown' else role end as role, coalesce(text, '') as text from conversations),
+speaker as (select distinct conv_id, role as speaker from said where role <> 'system'),
+seg as (select s.conv_id, p.speaker, s.turn // 64 as block, s.turn, s.role, s.text, s.role = p.speaker as own,
+               '<|im_start|>' || case when s.role = 'system' then 'system' when s.role = p.speaker then 'assistant' else 'user name=' || s.role end || chr(10) as head,
+               s.text || '<|im_end|>' || chr(10) as body
+        from said s join speaker p using (conv_id)),
+placed as (select *, coalesce(sum(length(head) + length(body)) over (partition by conv_id, speaker order by turn, role, text rows between unbounded preceding and 1 preceding), 0) as a from seg),
+part as (select conv_id, speaker, block, count(*) as n_turns, cast(min(a) as bigint) as start, string_agg(head || body, '' order by turn, role, text) as text,
+                coalesce(string_agg((a + length(head)) || ':' || (a + length(head) + length(body) - 1), ',' order by a) filter (where own), '') as mask
+         from placed group by all)
+select conv_id, speaker, row_number() over (partition by conv_id, speaker order by block) - 1 as part, n_turns, start, text, mask from part""",
+    "op9_exact_dedup": r"""
+with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
+g as (select t, min(doc_id) as keep_id, count(*) as group_size from n group by t)
+select n.doc_id, g.keep_id, g.group_size, n.doc_id = g.keep_id as kept, sha256(n.t) as text_sha256 from n join g on n.t = g.t""",
     "op10_decontamination": rf"""
 with doc as (select doc_id, regexp_extract_all(translate(coalesce(text, ''), {UPPER}, {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from documents),
 item as (select item_id, regexp_extract_all(translate(text, {UPPER}, {LOWER}), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w from benchmark where text is not null),
