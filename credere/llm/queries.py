@@ -13,6 +13,7 @@ from credere.llm.decontam import leak_report
 from credere.llm.exact_dedup import exact_report
 from credere.llm.line_dedup import line_report
 from credere.llm.secrets import secret_report
+from credere.llm.substring_dedup import substring_report
 
 
 def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
@@ -28,6 +29,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_report(documents(spark, sf_dir), tokenizer_path())
 
 
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_report(documents(spark, sf_dir))
+
+
 def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(documents(spark, sf_dir, "conversations"))
 
@@ -47,6 +52,7 @@ def op10_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_bpe": op2_bpe,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_chat_perspectives": op4_chat_perspectives,
     "op7_secret_scan": op7_secret_scan,
     "op9_exact_dedup": op9_exact_dedup,
@@ -67,6 +73,16 @@ marked as (select k.doc_id, k.i, k.line, c.key is not null as gone from keyed k
 select doc_id, count(*) as n_lines, cast(sum(case when gone then 1 else 0 end) as bigint) as n_dropped,
        sha256(coalesce(string_agg(line, chr(10) order by i) filter (where not gone), '')) as kept_sha256
 from marked group by doc_id""",
+    "op3_substring_dedup": r"""
+with doc as (select doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') as w from documents),
+win as (select doc_id, i, array_to_string(w[i:i + 12], ' ') as s from (select *, unnest(generate_series(1, len(w) - 12)) as i from doc where len(w) >= 13)),
+least as (select s, min(doc_id) as first_id from win group by s),
+gone as (select distinct doc_id, p from (select win.doc_id, unnest(generate_series(i, i + 12)) as p from win join least using (s) where first_id < win.doc_id)),
+word as (select doc_id, unnest(w) as x, generate_subscripts(w, 1) as p from doc),
+kept as (select word.doc_id, count(gone.p) as n_removed, string_agg(x, ' ' order by word.p) filter (where gone.p is null) as t
+         from word left join gone on word.doc_id = gone.doc_id and word.p = gone.p group by word.doc_id)
+select doc.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
+from doc left join kept on doc.doc_id = kept.doc_id""",
     "op4_chat_perspectives": """
 with said as (select distinct conv_id, turn, case when coalesce(role, '') = '' then 'unknown' else role end as role, coalesce(text, '') as text from conversations),
 speaker as (select distinct conv_id, role as speaker from said where role <> 'system'),
