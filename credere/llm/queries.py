@@ -12,6 +12,7 @@ from credere.llm.common import documents
 from credere.llm.decontam import leak_report
 from credere.llm.exact_dedup import exact_report
 from credere.llm.line_dedup import line_report
+from credere.llm.lm_score import score_documents
 from credere.llm.secrets import secret_report
 from credere.llm.substring_dedup import substring_report
 
@@ -41,6 +42,10 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_report(documents(spark, sf_dir))
 
 
+def op8_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"))
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_report(documents(spark, sf_dir))
 
@@ -55,6 +60,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_substring_dedup": op3_substring_dedup,
     "op4_chat_perspectives": op4_chat_perspectives,
     "op7_secret_scan": op7_secret_scan,
+    "op8_lm_scoring": op8_lm_scoring,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_decontamination": op10_decontamination,
 }
