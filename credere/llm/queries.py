@@ -12,6 +12,7 @@ from credere.llm.common import documents
 from credere.llm.decontam import leak_report
 from credere.llm.exact_dedup import exact_report
 from credere.llm.jaccard_join import jaccard_report
+from credere.llm.language_id import identify_pages
 from credere.llm.line_dedup import line_report
 from credere.llm.lm_score import score_documents
 from credere.llm.secrets import secret_report
@@ -39,6 +40,10 @@ def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rotate(documents(spark, sf_dir, "conversations"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_pages(documents(spark, sf_dir, "pages"), documents(spark, sf_dir))
+
+
 def op6_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_report(documents(spark, sf_dir))
 
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_bpe": op2_bpe,
     "op3_substring_dedup": op3_substring_dedup,
     "op4_chat_perspectives": op4_chat_perspectives,
+    "op5_language_id": op5_language_id,
     "op6_jaccard_join": op6_jaccard_join,
     "op7_secret_scan": op7_secret_scan,
     "op8_lm_scoring": op8_lm_scoring,
