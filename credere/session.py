@@ -10,6 +10,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -60,3 +62,18 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh, unique folder under the shared checkpoint root."""
     root = ensure_checkpoint_dir(spark).rstrip("/")
     return f"{root}/credere/{name}-{uuid.uuid4().hex[:12]}"
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Send this package's modules to the executors, once a context: functions that run there import them."""
+    sc = spark.sparkContext
+    if getattr(sc, "_credere_shipped", False):
+        return
+    home = Path(__file__).resolve().parent
+    if home.is_dir():  # else the package itself was shipped as an archive
+        path = Path(tempfile.mkdtemp(prefix="credere-code-")) / "credere.zip"
+        with zipfile.ZipFile(path, "w") as z:
+            for f in sorted(home.rglob("*.py")):
+                z.write(f, f.relative_to(home.parent))
+        sc.addPyFile(str(path))
+    sc._credere_shipped = True
