@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.session import scratch_path
+from credere.session import scratch_path, ship_package
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
@@ -28,6 +28,7 @@ def stage(df: DataFrame, name: str) -> DataFrame:
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
+    ship_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
@@ -64,6 +65,7 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
 def map_rows(df: DataFrame, schema: T.StructType,
              fn: Callable[[pa.RecordBatch, pa.Schema], pa.RecordBatch]) -> DataFrame:
     """``fn`` over each Arrow batch; the rows stay in their partitions."""
+    ship_package(df.sparkSession)
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

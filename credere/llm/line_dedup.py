@@ -150,7 +150,7 @@ def line_table(docs: DataFrame, id_col: str, text_col: str, min_chars: int) -> D
         owner = np.empty(batch.num_rows, np.int64)
         for i, text in enumerate(texts(batch.column(text_col))):
             own = {line_key(line) for line in text.split(b"\n")}
-            own = {k for k in own if k} if min_chars <= 1 else {k for k in own if code_points(k) >= min_chars}
+            own = {k for k in own if k} if min_chars == 1 else {k for k in own if code_points(k) >= min_chars}
             owner[i] = len(own)
             keys += own
         pairs = hash_pairs(keys)
