@@ -10,8 +10,8 @@ least 13 words, which are cut from the later document.
   over Arrow batches and keeps one seed's windows at a time.
 * Copies meet in the task that reads them: of equal rows only the smallest document's travel.
 * A seed that more than 1/8192 of the rows still share (the edges of a passage that many documents
-  hold) is dealt by window instead of by seed; fewer than 8,192 such seeds exist at any size, and
-  only they are broadcast.
+  hold, or a few words over and over) is dealt by window instead of by seed, once for each document
+  and window; fewer than 8,192 such seeds exist at any size, and only they are broadcast.
 * Texts are packed before the one join that brings the repeats home.
 """
 
@@ -134,11 +134,22 @@ def seed_rows(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> DataF
                 own = _expand(w.run[cold], w.size[cold])
                 parts = [(w.seed[cold], np.zeros(len(cold)), w.id[cold], w.start[cold],
                           _binary(raw[own, 8 - PRINT:], PRINT * w.size[cold]))]
-                # hot: one row a window; the rest of its hash picks the task
+                # hot: one row a window of the smallest document that holds it here; the rest of its hash picks the task
                 own = _expand(w.run[warm], w.size[warm])
-                each = np.repeat(warm, w.size[warm])
-                parts.append((w.seed[each], (w.hash[own] & np.uint64(0xFFFFFF)).astype(np.int64) + 1, w.id[each],
-                              w.start[each] + own - w.run[each], _binary(raw[own, 8 - PRINT:], np.full(len(own), PRINT))))
+                doc, full = np.repeat(w.id[warm], w.size[warm]), w.hash[own]
+                order = np.lexsort((doc, full))
+                doc, full = doc[order], full[order]
+                new = np.ones(len(order), bool)
+                new[1:] = full[1:] != full[:-1]
+                once = new.copy()
+                once[1:] |= doc[1:] != doc[:-1]
+                raw = full[new].view(np.uint8).reshape(-1, 8)
+                parts.append((np.repeat(w.seed[warm], w.size[warm])[order][new], (full[new] & np.uint64(0xFFFFFF)).astype(np.int64) + 1, doc[new],
+                              np.zeros(int(new.sum())), _binary(raw[:, 8 - PRINT:], np.full(int(new.sum()), PRINT))))
+                later = once & ~new & (doc > doc[new][np.cumsum(new) - 1] if len(doc) else once)
+                told = np.stack([prints_of(full[later]).astype(np.int64), np.zeros(int(later.sum()), np.int64)], 1)
+                parts.append((mix(full[later] ^ doc[later].view(np.uint64)).view(np.int64), np.full(len(told), -1), doc[later], np.zeros(len(told)),
+                              _binary(told.view(np.uint8).reshape(-1), np.full(len(told), 16))))
                 if len(settled):
                     check = np.add.reduceat(prints_of(w.hash[_expand(w.run[settled], w.size[settled])]), np.cumsum(w.size[settled]) - w.size[settled])
                     told = np.stack([check.astype(np.int64), w.size[settled].astype(np.int64)], 1)
@@ -223,7 +234,7 @@ class Repeats:
                 begins = np.ones(len(at), bool)
                 begins[1:] = (np.diff(at) != 1) | (row[at][1:] != row[at][:-1])
                 b = np.flatnonzero(begins)
-                found.append((ids[row[at[b]]], start[row[at[b]]] + place[b], np.diff(np.append(b, len(at))),
+                found.append((ids[row[at[b]]], start[row[at[b]]] + place[b], np.where(sub[row[at[b]]] > 0, 0, np.diff(np.append(b, len(at)))),
                               np.add.reduceat(prints[at], b).astype(np.int64)))
             last = order[new]
             last = last[(key[last] >> np.uint64(8 * PRINT)) == np.uint64(group[-1])]
@@ -232,7 +243,8 @@ class Repeats:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """(id, start, n, check) over (id, text): runs of ``n`` windows from word ``start`` that a smaller id holds."""
+    """(id, start, n, check) over (id, text): runs of ``n`` windows from word ``start`` that a smaller id
+    holds, ``check`` the sum of their prints; with n = 0, every window of the print ``check``."""
     hot = hot_seeds(docs, window, seed)
     dealt = seed_rows(docs, hot, window, seed).repartition("seed", "sub").sortWithinPartitions("seed", "sub", "id")
     out = arrow_schema(REPEATS)
@@ -273,6 +285,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             merged: list[list[int]] = []
             if runs:
                 own = prints_of(ngram_hashes(word_hashes(words), window, 0xC2B2AE3D27D4EB4F))
+                told = np.array([r["check"] for r in runs if not r["n"]], np.int64).astype(np.uint64)
+                runs = [r for r in runs if r["n"]] + [{"start": i, "n": 1, "check": int(own[i])} for i in np.flatnonzero(np.isin(own, told)).tolist()]
                 for r in sorted(runs, key=lambda r: r["start"]):
                     a, b = r["start"], r["start"] + r["n"]
                     if b <= len(own) and int(own[a:b].sum(dtype=np.uint64).astype(np.int64)) == r["check"]:  # rows may share an id
