@@ -34,9 +34,12 @@ from pyspark.sql import types as T
 from credere.llm.common import arrow_schema, extend, map_rows, mix, ngram_hashes, stage, texts, with_fields, word_hashes
 
 MAX_LIGHT = 26
-HOT_SHARE = 1 << 16
+HOT_SHARE = 1 << 20
+HOT_LEAST = 16
+SENT_IDS = 1 << 20
 SALT_ROWS = 256
 HASH_BYTES = 6
+SHORT_LIST = 1024
 
 
 @dataclass(frozen=True)
@@ -109,7 +112,7 @@ def common_shingles(docs: DataFrame, spec: Spec) -> np.ndarray:
             sets = {set_hash(s): s for s in (shingles(t, spec.n) for t in texts(batch.column("text"))) if len(s)}
             total = sum(map(len, sets.values()))
             h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets.values()]), return_counts=True)
-            often = n * HOT_SHARE > max(total, 8 * HOT_SHARE)
+            often = (n * HOT_SHARE > total) & (4 * n >= HOT_LEAST)
             yield pa.RecordBatch.from_arrays([pa.array([*h[often].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[often].tolist(), 0], pa.int64()),
                                               pa.array([0] * int(often.sum()) + [total], pa.int64())], schema=out)
 
@@ -117,8 +120,8 @@ def common_shingles(docs: DataFrame, spec: Spec) -> np.ndarray:
     total = sums.where("h is null").select("total").first()
     if not total:
         return np.empty(0, np.uint64)
-    rows = sums.where(F.col("h").isNotNull() & (F.col("n") * HOT_SHARE > max(total[0], 8 * HOT_SHARE))).select("h").collect()
-    return np.sort(np.array([r[0] for r in rows], np.int64).view(np.uint64))
+    hot = sums.where(F.col("h").isNotNull() & (F.col("n") * HOT_SHARE > total[0]) & (F.col("n") >= HOT_LEAST)).select("h").toArrow()  # 8 MB at most
+    return np.sort(hot.column("h").to_numpy().view(np.uint64))
 
 
 def set_table(docs: DataFrame, spec: Spec, hot: np.ndarray) -> DataFrame:
@@ -130,7 +133,7 @@ def set_table(docs: DataFrame, spec: Spec, hot: np.ndarray) -> DataFrame:
         n, s1, s2, first, bits = [], [], [], [], []
         for t in texts(batch.column("text")):
             s = shingles(t, spec.n)
-            late = np.isin(s, hot, kind="sort") if len(hot) else np.zeros(len(s), bool)
+            late = hot[np.minimum(np.searchsorted(hot, s), len(hot) - 1)] == s if len(hot) else np.zeros(len(s), bool)
             a, b = set_hash(s)
             take = len(s) if len(s) <= MAX_LIGHT else spec.prefix(len(s))
             n.append(len(s))
@@ -204,30 +207,41 @@ def list_entries(sets: DataFrame, spec: Spec, x: int) -> DataFrame:
     return sets.select("id", "n", "first").mapInArrow(run, ENTRY)
 
 
+SHARED = T.StructType([*ENTRY.fields, T.StructField("hub", T.LongType()), T.StructField("hub_n", T.IntegerType()), T.StructField("place", T.LongType())])
+
+
 def shared_entries(entries: DataFrame) -> DataFrame:
-    """The entries of lists with two members at least. Streams with one entry held back, so a list may have any length."""
-    dealt = entries.repartition("key").sortWithinPartitions("key", "c")
-    out = arrow_schema(ENTRY)
+    """The entries of lists with two members at least, with the list's smallest id and the entry's
+    place by id. Streams with one entry held back, so a list may have any length."""
+    dealt = entries.repartition("key").sortWithinPartitions("key", "c", "id")
+    out = arrow_schema(SHARED)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, held_shared = None, False
+        held = None
         for batch in batches:
             if not batch.num_rows:
                 continue
             if held is not None:
-                batch = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns, batch.columns, strict=True)], schema=out)
+                batch = pa.RecordBatch.from_arrays([pa.concat_arrays([x, y]) for x, y in zip(held.columns[:5], batch.columns, strict=True)], schema=batch.schema)
             key, c = batch.column("key").to_numpy(), batch.column("c").to_numpy()
-            same = (key[1:] == key[:-1]) & (c[1:] == c[:-1])
-            shared = np.zeros(len(key), bool)
-            shared[1:] |= same
-            shared[:-1] |= same
-            shared[0] |= held is not None and held_shared
-            yield batch.slice(0, len(key) - 1).filter(pa.array(shared[:-1]))
-            held, held_shared = batch.slice(len(key) - 1), bool(shared[-1])
-        if held is not None and held_shared:
+            new = np.ones(len(key), bool)
+            new[1:] = (key[1:] != key[:-1]) | (c[1:] != c[:-1])
+            at = np.arange(len(key))
+            first = np.maximum.accumulate(np.where(new, at, 0))
+            hub, hub_n, place = batch.column("id").to_numpy()[first], batch.column("n").to_numpy()[first], at - first
+            if held is not None:  # the first list began in an earlier batch
+                own = first == 0
+                hub, hub_n = np.where(own, held.column("hub")[0].as_py(), hub), np.where(own, held.column("hub_n")[0].as_py(), hub_n).astype(np.int32)
+                place = place + own * held.column("place")[0].as_py()
+            shared = place > 0
+            shared[:-1] |= ~new[1:]
+            full = pa.RecordBatch.from_arrays([*batch.columns, pa.array(hub), pa.array(hub_n), pa.array(place)], schema=out)
+            yield full.slice(0, len(key) - 1).filter(pa.array(shared[:-1]))
+            held = full.slice(len(key) - 1)
+        if held is not None and held.column("place")[0].as_py() > 0:
             yield held
 
-    return dealt.mapInArrow(run, ENTRY)
+    return dealt.mapInArrow(run, SHARED)
 
 
 def _ordered(x: str, y: str) -> list:
@@ -237,23 +251,26 @@ def _ordered(x: str, y: str) -> list:
 def subset_links(lists: DataFrame, spec: Spec) -> DataFrame:
     """Links that shared subsets prove: each member with the smallest set of its list."""
     light = lists.where("c > 0")
-    hub = light.groupBy("key", "c").agg(F.min(F.struct("n", "id")).alias("hub"))
-    met = light.join(hub, ["key", "c"]).where(spec.linked(F.col("c"), F.col("hub.n"), F.col("n")) & (F.col("id") != F.col("hub.id")))
-    return met.select(F.col("hub.id").alias("x"), F.col("id").alias("y")).select(*_ordered("x", "y")).distinct()
+    hub = light.groupBy("key", "c").agg(F.min(F.struct("n", "id")).alias("least"))
+    met = light.join(hub, ["key", "c"]).where(spec.linked(F.col("c"), F.col("least.n"), F.col("n")) & (F.col("id") != F.col("least.id")))
+    return met.select(F.col("least.id").alias("x"), F.col("id").alias("y")).select(*_ordered("x", "y")).distinct()
 
 
 def hub_pairs(lists: DataFrame, spec: Spec, x: int) -> DataFrame:
-    """(a, b, na, nb): each member of a list with its smallest id, and with the member that has the largest part of its prefix in lists.
+    """(a, b, na, nb): each member of a list with its smallest id and, in lists of three and more,
+    with the member that has the largest part of its prefix in such lists.
 
     The text that the others are copies of shares the most, so a large group of near copies is
     mostly joined through it, with one proposal a member.
     """
     heavy = lists.where("c = 0")
-    weight = heavy.groupBy("id").agg((F.count("*") / F.max("p")).alias("w"))
-    told = heavy.join(weight, "id").select("key", "id", "n", "w")
-    hubs = told.groupBy("key").agg(F.min(F.struct("id", "n")).alias("least"), F.max(F.struct("w", (-F.col("id")).alias("order"), "id", "n")).alias("most"))
-    met = told.join(hubs, "key").select("id", "n", F.explode(F.array(F.struct("least.id", "least.n"), F.struct("most.id", "most.n"))).alias("hub"))
-    return sized_pairs(met.select(F.col("hub.id").alias("x"), F.col("hub.n").alias("nx"), F.col("id").alias("y"), F.col("n").alias("ny")), spec, x)
+    least = heavy.where("place > 0").select(F.col("hub").alias("x"), F.col("hub_n").alias("nx"), F.col("id").alias("y"), F.col("n").alias("ny"))
+    long = stage(heavy.select("key", "id", "n", "p").join(heavy.where("place = 2").select("key"), "key"), "long_lists")
+    weight = long.groupBy("id").agg((F.count("*") / F.max("p")).alias("w"))
+    told = stage(long.join(weight, "id").select("key", "id", "n", "w"), "weighted")
+    hubs = told.groupBy("key").agg(F.max(F.struct("w", (-F.col("id")).alias("order"), "id", "n")).alias("most"))
+    most = told.join(hubs, "key").select(F.col("most.id").alias("x"), F.col("most.n").alias("nx"), F.col("id").alias("y"), F.col("n").alias("ny"))
+    return sized_pairs(least.unionByName(most), spec, x)
 
 
 def sized_pairs(pairs: DataFrame, spec: Spec, x: int) -> DataFrame:
@@ -264,24 +281,73 @@ def sized_pairs(pairs: DataFrame, spec: Spec, x: int) -> DataFrame:
                                    F.when(first, F.col("ny")).otherwise(F.col("nx")).alias("nb")).distinct()
 
 
+CROSS = T.StructType([T.StructField(c, T.LongType()) for c in ("x", "nx", "y", "ny", "key", "at", "comp")])
+
+
 def cross_pairs(lists: DataFrame, comps: DataFrame, spec: Spec, x: int) -> DataFrame:
     """(a, b, na, nb): all pairs of a list in different components that may still link.
 
-    Components meet first, so members of one component are never paired. A pair is proposed where
-    the two sets' remaining lengths after the shared place leave room for the overlap that a link
-    needs; a linking pair passes at its first shared place.
+    A pair is proposed where the two sets' remaining lengths after the shared place leave room for
+    the overlap that a link needs; a linking pair passes at its first shared place. Lists of up to
+    SHORT_LIST entries are paired where they are read. The entries of longer ones pass through, and
+    meet by component in joins that spill, so members of one component are never paired.
     """
-    heavy = lists.where("c = 0").join(comps, "id", "left").select("key", "id", "n", "at", F.coalesce("comp", "id").alias("comp"))
-    heavy = stage(heavy, "list_components")
-    many = heavy.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    heavy = heavy.join(many, "key")
-    own = heavy.select("key", "comp").distinct()
+    heavy = (lists.where("c = 0").join(comps, "id", "left")
+             .select("key", F.col("id").alias("x"), F.col("n").cast("long").alias("nx"), F.col("at").cast("long").alias("at"), F.coalesce("comp", "id").alias("comp")))
+    dealt = heavy.repartition("key").sortWithinPartitions("key")
+    out = arrow_schema(CROSS)
+    names = ("key", "x", "nx", "at", "comp")
+
+    def entry(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
+        none = pa.nulls(len(cols["key"]), pa.int64())
+        return pa.RecordBatch.from_arrays([pa.array(cols["x"]), pa.array(cols["nx"]), none, none, *[pa.array(cols[c]) for c in ("key", "at", "comp")]], schema=out)
+
+    def pairs(cols: dict[str, np.ndarray]) -> pa.RecordBatch:
+        key, who, n, at, comp = (cols[c] for c in names)
+        found = []
+        for gap in range(1, SHORT_LIST):
+            i = np.flatnonzero(key[gap:] == key[:-gap])
+            if not len(i):
+                break
+            j = i + gap
+            room = 1 + np.minimum(n[i] - at[i], n[j] - at[j]) - 1
+            fit = (comp[i] != comp[j]) & spec.linked(room, n[i], n[j]) & (np.maximum(n[i], n[j]) > x)
+            found.append(np.stack([who[i[fit]], n[i[fit]], who[j[fit]], n[j[fit]]], 1))
+        rows = np.unique(np.concatenate([np.empty((0, 4), np.int64), *found]), axis=0)
+        none = pa.nulls(len(rows), pa.int64())
+        return pa.RecordBatch.from_arrays([*[pa.array(np.ascontiguousarray(rows[:, k])) for k in range(4)], none, none, none], schema=out)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest, long = None, None  # entries of a list that may go on; the key of a long list that passes through
+        for batch in batches:
+            cols = {c: batch.column(c).to_numpy() for c in names}
+            if not len(cols["key"]):
+                continue
+            if rest is not None:
+                cols = {c: np.concatenate([rest[c], v]) for c, v in cols.items()}
+            key = cols["key"]
+            begins = np.flatnonzero(np.concatenate([[True], key[1:] != key[:-1]]))
+            size = np.diff(np.append(begins, len(key)))
+            big = np.repeat((size > SHORT_LIST) | (key[begins] == long), size)
+            last = np.zeros(len(key), bool)
+            last[begins[-1]:] = True
+            wait = last & ~big
+            yield pairs({c: v[~big & ~wait] for c, v in cols.items()})
+            yield entry({c: v[big] for c, v in cols.items()})
+            long = key[-1] if big[-1] else None
+            rest = {c: v[wait] for c, v in cols.items()} if wait.any() else None
+        if rest is not None:
+            yield pairs(rest)
+
+    got = stage(dealt.mapInArrow(run, CROSS), "cross")
+    long = got.where("y is null").select("key", "x", "nx", "at", "comp")
+    own = long.select("key", "comp").distinct()
     met = own.select("key", F.col("comp").alias("c1")).join(own.select("key", F.col("comp").alias("c2")), "key").where("c1 < c2")
-    left = heavy.select("key", F.col("comp").alias("c1"), F.col("id").alias("x"), F.col("n").alias("nx"), F.col("at").alias("px"))
-    right = heavy.select("key", F.col("comp").alias("c2"), F.col("id").alias("y"), F.col("n").alias("ny"), F.col("at").alias("py"))
+    left = long.select("key", F.col("comp").alias("c1"), "x", "nx", F.col("at").alias("px"))
+    right = long.select("key", F.col("comp").alias("c2"), F.col("x").alias("y"), F.col("nx").alias("ny"), F.col("at").alias("py"))
     room = 1 + F.least(F.col("nx") - F.col("px") - 1, F.col("ny") - F.col("py") - 1)
     both = met.join(left, ["key", "c1"]).join(right, ["key", "c2"]).where(spec.linked(room, F.col("nx"), F.col("ny")))
-    return sized_pairs(both.select("x", "nx", "y", "ny"), spec, x)
+    return sized_pairs(got.where("y is not null").select("x", "nx", "y", "ny").unionByName(both.select("x", "nx", "y", "ny")), spec, x)
 
 
 # ---------------------------------------------------------------- checks
@@ -312,6 +378,9 @@ def verify(docs: DataFrame, pairs: DataFrame, class_of: DataFrame, spec: Spec) -
     requests = (salted.select(F.col("b").alias("rid"), F.col("a").alias("target"), "salt", F.lit(1).alias("kind"))
                 .unionByName(salted.select(F.col("a").alias("rid"), F.col("a").alias("target"), "salt", F.lit(0).alias("kind")).distinct()))
     requests = requests.join(class_of.select(F.col("id").alias("rid"), "s1", "s2"), "rid")
+    # only the texts asked for are shuffled: few ids are sent to the documents, many meet them in a shuffle join
+    ids = stage(requests.select(F.col("rid").alias("id")).distinct(), "asked")
+    docs = docs.join(F.broadcast(ids) if ids.count() <= SENT_IDS else ids, "id", "left_semi")
     packed = map_rows(docs, T.StructType([docs.schema["id"], T.StructField("packed", T.BinaryType())]), lambda batch, out: pa.RecordBatch.from_arrays(
         [batch.column("id"), pa.array([zstandard.compress(t) for t in texts(batch.column("text"))], pa.binary())], schema=out))
     sent = T.StructType([T.StructField("target", T.LongType()), T.StructField("salt", T.LongType()), T.StructField("kind", T.IntegerType()),
@@ -395,8 +464,10 @@ def joined(docs: DataFrame, candidates: DataFrame, class_of: DataFrame, links: D
             return links, tested, comps
         got = stage(verify(docs, now, class_of, spec), "tested")
         tested = stage(tested.unionByName(got), "tested_all")
-        links = tested.where("ok").select("a", "b").unionByName(links.select("a", "b")).distinct()
-        comps, most = components(links), most * 4
+        if not got.where("ok").isEmpty():
+            links = tested.where("ok").select("a", "b").unionByName(links.select("a", "b")).distinct()
+            comps = components(links)
+        most *= 4
 
 
 def jaccard_components(docs: DataFrame, spec: Spec = Spec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -413,8 +484,9 @@ def jaccard_components(docs: DataFrame, spec: Spec = Spec(), id_col: str = "doc_
     by_id = real.groupBy("id").agg(F.min(F.struct("n", "s1", "s2")).alias("k")).select("id", "k.*")
     reps = by_id.groupBy("n", "s1", "s2").agg(F.min("id").alias("rep"))
     class_of = stage(by_id.join(reps, ["n", "s1", "s2"]), "classes")
-    first = class_of.where("id = rep").select("id", "n", "s1", "s2")
-    distinct = real.join(first, ["id", "n", "s1", "s2"], "left_semi").dropDuplicates(["id"])
+    key = ["id", "n", "s1", "s2"]
+    first = class_of.where("id = rep").select(*key)
+    distinct = real.join(first, key, "left_semi").dropDuplicates(key)
     x = light_boundary(distinct, spec)
     lists = shared_entries(list_entries(distinct, spec, x))
     prefix = F.col("n") - F.ceil(F.col("n") * spec.num / F.lit(spec.den)) + 1
@@ -422,7 +494,7 @@ def jaccard_components(docs: DataFrame, spec: Spec = Spec(), id_col: str = "doc_
     links = stage(subset_links(lists, spec), "links")
     texts_of = own.where("id is not null")
     none = docs.sparkSession.createDataFrame([], TESTED)
-    bits = real.join(first, ["id", "n", "s1", "s2"], "left_semi").select("id", "parity").dropDuplicates(["id"])
+    bits = real.select(*key, "parity").join(first, key, "left_semi").dropDuplicates(key).select("id", "parity")
     hubs = stage(likely(hub_pairs(lists, spec, x), bits, spec), "likely")
     links, tested, comps = joined(texts_of, hubs, class_of, links, none, spec)
     rest = stage(likely(cross_pairs(lists, comps, spec, x), bits, spec), "likely")
