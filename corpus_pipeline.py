@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from credere.llm.bpe import bpe_round_trip
+from credere.llm.bpe import bpe_encode
 from credere.llm.common import documents, stage
 from credere.llm.decontam import remove_leaks
 from credere.llm.jaccard_join import Spec, keep_one
@@ -49,8 +49,8 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, lang, source, n_tokens, ids, decoded_sha256): token ids as little-endian unsigned 32-bit integers."""
-    coded = bpe_round_trip(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
-    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+    coded = bpe_encode(docs.select("doc_id", "lang", "source", "text"), tokenizer_path())
+    return coded.select("doc_id", "lang", "source", "n_tokens", "ids", "decoded_sha256")
 
 
 STAGES = [("language_id", language_id), ("line_dedup", line_dedup), ("near_duplicates", near_duplicates),

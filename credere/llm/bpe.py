@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import hashlib
 import json
-from collections.abc import Iterator
+from collections.abc import Iterable
 from functools import lru_cache
 
 import numpy as np
@@ -30,7 +30,6 @@ CACHE = 200_000
 LONGEST_KEPT = 64
 WIDEST = 64
 BLOCK = 4096
-BLOCK_CHARS = 4_000_000
 
 # Fixed values of the vocabulary file's format: the white space of its normaliser (Unicode White_Space).
 WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -257,38 +256,45 @@ class Bpe:
         return out
 
 
-def encode_blocks(bpe: Bpe, batch: list[str]) -> Iterator[tuple[bytes, str]]:
-    """``encode_batch`` in blocks of bounded text, so that a batch of long texts stays small in memory."""
-    block, size = [], 0
-    for t in batch:
-        block.append(t)
-        size += len(t)
-        if size >= BLOCK_CHARS:
-            yield from bpe.encode_batch(block)
-            block, size = [], 0
-    yield from bpe.encode_batch(block)
-
-
 @lru_cache(maxsize=2)
 def load(path: str) -> Bpe:
     return Bpe(path)
 
 
+def _coded(batch: pa.RecordBatch, path: str, text_col: str) -> list[tuple[bytes, str]]:
+    return load(path).encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
+
+
+def _sha256(values: Iterable[bytes]) -> list[str]:
+    return [hashlib.sha256(v).hexdigest() for v in values]
+
+
 def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     """``docs`` with ``ids`` (little-endian uint32, binary), ``n_tokens`` and ``decoded``.
 
     A null or empty text has no ids and decodes to the empty text. Columns of these names are
-    replaced. Repeated rows are encoded alike; every other column passes through.
+    replaced. Repeated rows are encoded alike; every other column passes through. Texts are taken
+    in blocks of bounded bytes, so memory follows the longest text, not the batch.
     """
     schema = with_fields(docs, ("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.StringType()))
 
     def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        bpe = load(path)
-        pairs = list(encode_blocks(bpe, [t or "" for t in batch.column(text_col).to_pylist()]))
-        return extend(batch, out, ids=[p[0] for p in pairs], n_tokens=[len(p[0]) // 4 for p in pairs],
-                      decoded=[p[1] for p in pairs])
+        pairs = _coded(batch, path, text_col)
+        return extend(batch, out, ids=[p[0] for p in pairs], n_tokens=[len(p[0]) // 4 for p in pairs], decoded=[p[1] for p in pairs])
 
-    return map_rows(docs, schema, run)
+    return map_rows(docs, schema, run, text_col)
+
+
+def bpe_encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
+    """``docs`` with ``ids``, ``n_tokens`` and ``decoded_sha256``, the digest of the decoded text: as
+    ``bpe_round_trip``, but the decoded text stays in its task."""
+    schema = with_fields(docs, ("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded_sha256", T.StringType()))
+
+    def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
+        pairs = _coded(batch, path, text_col)
+        return extend(batch, out, ids=[p[0] for p in pairs], n_tokens=[len(p[0]) // 4 for p in pairs], decoded_sha256=_sha256(p[1].encode() for p in pairs))
+
+    return map_rows(docs, schema, run, text_col)
 
 
 def bpe_report(docs: DataFrame, path: str) -> DataFrame:
@@ -299,12 +305,7 @@ def bpe_report(docs: DataFrame, path: str) -> DataFrame:
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        bpe = load(path)
-        n, ids, decoded = [], [], []
-        for a, b in encode_blocks(bpe, [t or "" for t in batch.column("text").to_pylist()]):
-            n.append(len(a) // 4)
-            ids.append(hashlib.sha256(a).hexdigest())
-            decoded.append(hashlib.sha256(b.encode()).hexdigest())
-        return extend(batch, out, n_tokens=n, ids_sha256=ids, decoded_sha256=decoded)
-
-    return map_rows(docs, schema, run)
+        pairs = _coded(batch, path, "text")
+        return extend(batch, out, n_tokens=[len(p[0]) // 4 for p in pairs], ids_sha256=_sha256(p[0] for p in pairs), decoded_sha256=_sha256(p[1].encode() for p in pairs))
+
+    return map_rows(docs, schema, run, "text")

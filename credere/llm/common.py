@@ -11,6 +11,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -62,16 +63,28 @@ def arrow_schema(schema: T.StructType) -> pa.Schema:
     return to_arrow_schema(schema)
 
 
-def map_rows(df: DataFrame, schema: T.StructType,
-             fn: Callable[[pa.RecordBatch, pa.Schema], pa.RecordBatch]) -> DataFrame:
-    """``fn`` over each Arrow batch; the rows stay in their partitions."""
+def blocks_of(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with at most about ``most`` bytes in a text column (a longer text alone)."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < batch.num_rows:
+        done = ends[at - 1] if at else 0
+        end = max(at + 1, int(np.searchsorted(ends, done + most, "right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
+def map_rows(df: DataFrame, schema: T.StructType, fn: Callable[[pa.RecordBatch, pa.Schema], pa.RecordBatch],
+             text_col: str | None = None, most: int = 4 << 20) -> DataFrame:
+    """``fn`` over each Arrow batch, or over blocks of ``most`` bytes in ``text_col``; the rows stay in their partitions."""
     ship_package(df.sparkSession)
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                yield fn(batch, out)
+                for block in blocks_of(batch, text_col, most) if text_col else (batch,):
+                    yield fn(block, out)
 
     return df.mapInArrow(run, schema)
 

@@ -7,7 +7,7 @@ import pytest
 from corpus import awkward, frame
 from tokenizers import Tokenizer
 
-from credere.llm.bpe import NO_RANK, Bpe, MinTree, bpe_report, bpe_round_trip, encode_blocks, load
+from credere.llm.bpe import NO_RANK, Bpe, MinTree, bpe_encode, bpe_report, bpe_round_trip, load
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -30,6 +30,9 @@ def test_matches_the_library(spark, library):
     for r in got.collect():
         ids, decoded = expect(library, r.text)
         assert np.frombuffer(r.ids, "<u4").tolist() == ids and r.n_tokens == len(ids) and r.decoded == decoded
+    short = {(r.doc_id, r.text): r for r in bpe_encode(df, PATH).collect()}
+    for r in got.collect():
+        assert short[r.doc_id, r.text].ids == r.ids and short[r.doc_id, r.text].decoded_sha256 == hashlib.sha256(r.decoded.encode()).hexdigest()
     told = {r.doc_id: r for r in bpe_report(frame(spark, awkward()), PATH).collect()}
     for i, t, *_ in awkward():
         ids, decoded = expect(library, t)
@@ -46,7 +49,7 @@ def test_random_unicode(library):
     ranges = [(0, 0x7F), (0x80, 0x24F), (0x300, 0x5FF), (0x2000, 0x2FFF), (0x1F000, 0x1FAFF)]
     texts = ["".join(chr(rng.randint(*rng.choice(ranges))) for _ in range(rng.randint(0, 60))) for _ in range(400)]
     bpe = load(PATH)
-    for t, (ids, decoded) in zip(texts, encode_blocks(bpe, texts), strict=True):
+    for t, (ids, decoded) in zip(texts, bpe.encode_batch(texts), strict=True):
         assert (np.frombuffer(ids, "<u4").tolist(), decoded) == expect(library, t)
 
 
