@@ -12,16 +12,13 @@ import math
 from collections.abc import Iterable
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.casts import value_or_null
 from ..functions.ranking import exclusive_prefix_sum
 from .quality import mode_value
 
-# Largest number of distinct values ranked inside one task (bounded sort).
-WINDOW_RANK_MAX = 1_000_000
-
 
 def nonzero_filter(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     """``c != 0``; NULL rows go too (three-valued logic)."""
@@ -73,23 +70,16 @@ def exact_quantile(df: DataFrame, col: str, q: float = 0.5):
     """Exact discrete quantile (the ceil(q*n)-th smallest non-missing value) at any scale.
 
     Values are counted per distinct value (partial aggregation); the counts get
-    a prefix sum - one ordered window when there are at most ``WINDOW_RANK_MAX``
-    distinct values, a distributed prefix sum otherwise - and the group holding
-    rank ceil(q*n) is selected. No task ever sorts the raw column.
+    a distributed prefix sum, and the group holding rank ceil(q*n) is selected.
+    No task ever sorts the raw column.
     """
     dtype = df.schema[col].dataType
     vals = df.select(value_or_null(col, dtype).cast("double").alias("v")).filter(F.col("v").isNotNull())
     counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    stats = counts.agg(F.count(F.lit(1)).alias("d"), F.sum("n").alias("t")).first()
-    total = stats["t"]
+    ranked = exclusive_prefix_sum(counts, [F.col("v")], "n", "below")  # checkpointed: the scan runs once
+    total = ranked.agg(F.sum("n")).first()[0]
     if not total:
         return None
-    if stats["d"] <= WINDOW_RANK_MAX:
-        # bounded (checked above): one ordered window over the distinct values
-        before = Window.orderBy("v").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = counts.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    else:
-        ranked = exclusive_prefix_sum(counts, [F.col("v")], "n", "below")
     k = max(1, math.ceil(q * total))
     hit = ranked.filter((F.col("below") < F.lit(k)) & (F.col("below") + F.col("n") >= F.lit(k)))
     return hit.agg(F.min("v").alias("v")).first()["v"]

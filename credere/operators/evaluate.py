@@ -4,13 +4,13 @@ One confusion aggregation gives accuracy and the weighted precision, recall
 and F1 of ``MulticlassClassificationEvaluator``; one aggregation by score
 plus a distributed prefix sum gives the exact area under ROC (equal to
 ``BinaryClassificationEvaluator(numBins=0)``). The result is a DataFrame
-(metric, value) - two scans of the predictions instead of five.
+(metric, value). The predictions are read once for each of the two aggregations.
 """
 
 from __future__ import annotations
 
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import exclusive_prefix_sum
@@ -50,38 +50,24 @@ def classification_metrics(df: DataFrame, label: str = "label", prediction: str
         (F.sum(F.col("n_true") * F.col("f")) / total).alias("f1"))
 
 
-def auc_exact(df: DataFrame, label: str = "label", score: str = "score",
-              window_rank_max: int = 1_000_000) -> DataFrame:
+def auc_exact(df: DataFrame, label: str = "label", score: str = "score") -> DataFrame:
     """E5: exact area under ROC by the mid-rank formula (ties count one half).
 
     Rows are first aggregated by distinct score, then each score group gets
-    the count of rows strictly below it: from one ordered window when there are
-    at most ``window_rank_max`` distinct scores, else from a distributed prefix
-    sum (no single task ever sees an unbounded number of scores).
+    the count of rows strictly below it from a distributed prefix sum (no single
+    task ever sees an unbounded number of scores). Rows of one class alone give
+    1 (positives) or 0 (negatives), as the evaluator's curve does; no rows NULL.
     """
     groups = (df.groupBy(F.col(score).cast("double").alias("s"))
               .agg(F.sum(F.col(label).cast("long")).alias("pos"), F.count(F.lit(1)).alias("n")))
-    distinct_scores = groups.count()
-    if distinct_scores <= window_rank_max:
-        # bounded (checked above): one ordered window over the distinct scores
-        before = Window.orderBy("s").rowsBetween(Window.unboundedPreceding, -1)
-        ranked = groups.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
-    else:
-        ranked = exclusive_prefix_sum(groups, [F.col("s")], "n", "below")
+    ranked = exclusive_prefix_sum(groups, [F.col("s")], "n", "below")
     midrank = F.col("below") + (F.col("n") + 1) / 2.0
     agg = ranked.agg(F.sum(F.col("pos") * midrank).alias("rank_sum"),
                      F.sum("pos").cast("double").alias("P"),
                      (F.sum("n") - F.sum("pos")).cast("double").alias("N"))
-    return agg.select(((F.col("rank_sum") - F.col("P") * (F.col("P") + 1) / 2) /
-                       (F.col("P") * F.col("N"))).alias("areaUnderROC"))
-
-
-def auc_binned(df: DataFrame, label: str = "label", raw_col: str = "rawPrediction", num_bins: int = 1000) -> float:
-    """E5 as the original job computed it (MLlib evaluator, down-sampled curve)."""
-    from pyspark.ml.evaluation import BinaryClassificationEvaluator
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=raw_col,
-                                       metricName="areaUnderROC", numBins=num_bins)
-    return ev.evaluate(df)
+    area = F.try_divide(F.col("rank_sum") - F.col("P") * (F.col("P") + 1) / 2, F.col("P") * F.col("N"))
+    one_class = F.when(F.col("P") > 0, F.lit(1.0)).when(F.col("N") > 0, F.lit(0.0))
+    return agg.select(F.coalesce(area, one_class).alias("areaUnderROC"))
 
 
 def metric_bundle(df: DataFrame, label: str = "label", prediction: str = "prediction",

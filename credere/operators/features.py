@@ -4,9 +4,8 @@ Categorical indexing is a *label table* - DataFrame(column, value, count,
 index) - instead of an in-driver label array: counts come from one
 aggregation over all categorical columns (partial aggregation absorbs hot
 values), positions from a distributed sort (no single-partition window), and
-the index is applied with one equi-join per column, broadcast only when that
-column's arity is below ``broadcast_max`` (checked from the fitted arity),
-a shuffle join with AQE skew handling otherwise. Ordering equals
+the index is applied with one equi-join per column, whose strategy the engine
+picks by the table's bytes. Ordering equals
 ``StringIndexer(stringOrderType="frequencyDesc")``: most frequent first,
 ties by text ascending, values indexed as text.
 
@@ -19,24 +18,16 @@ from __future__ import annotations
 import json
 from dataclasses import dataclass, field
 
-from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.feature import FeatureHasher, OneHotEncoder, StandardScaler, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.ranking import global_position
 from ..profile import Profile
 
-BROADCAST_MAX_LABELS = 1_000_000
-# Largest per-column label count ranked inside one task (bounded sort).
-WINDOW_RANK_MAX = 1_000_000
 POLICIES = ("skip", "keep", "error")
-# Categorical indices above this arity enter tree learners as frequency-rank
-# ordinals instead of nominal features, so maxBins (and per-node bin
-# statistics) stay bounded. None = every index nominal (the original job).
-NOMINAL_MAX_ARITY = 4096
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -56,41 +47,33 @@ class LabelIndex:
         return self.labels.filter(F.col("column") == F.lit(col)).select("value", "index")
 
 
-def fit_label_index(df: DataFrame, cols: list[str], window_rank_max: int = WINDOW_RANK_MAX) -> LabelIndex:
+def fit_label_index(df: DataFrame, cols: list[str]) -> LabelIndex:
     """T1/T2 fit: frequency-descending index per column, ties by text.
 
-    The (column, value, count) table is computed in one pass and checkpointed.
-    When every column's arity is at most ``window_rank_max`` the ranks come
-    from a window partitioned by column (one sort of at most that many rows per
-    task); otherwise from the distributed global position, so no task ever
-    sorts an unbounded column.
+    The (column, value, count) table is one aggregation; its distributed
+    positions are the ranks, so no task ever sorts a whole column. The sorted
+    table is checkpointed and is the model: its lineage ends there.
     """
-    counts = category_counts(df, cols).checkpoint(eager=True)
+    ordered = global_position(category_counts(df, cols), [F.col("column"), F.desc("count"), F.asc("value")], "pos")
     # one row per categorical column: bounded, safe to collect
-    arity = {r["column"]: int(r["n"]) for r in counts.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
-    if not arity or max(arity.values()) <= window_rank_max:
-        w = Window.partitionBy("column").orderBy(F.desc("count"), F.asc("value"))
-        labels = counts.withColumn("index", (F.row_number().over(w) - 1).cast("double"))
-    else:
-        ordered = global_position(counts, [F.col("column"), F.desc("count"), F.asc("value")], "pos")
-        starts = ordered.groupBy("column").agg(F.min("pos").alias("start"))
-        labels = (ordered.join(F.broadcast(starts), "column")
-                  .select("column", "value", "count", (F.col("pos") - F.col("start")).cast("double").alias("index")))
-    # The fitted table is the model: cut its lineage once (reliable checkpoint).
-    labels = labels.select("column", "value", "count", "index").checkpoint(eager=True)
-    return LabelIndex(labels, {c: arity.get(c, 0) for c in cols})
-
-
-def nominal(col: str, name: str, num_vals: int):
+    spans = {r["column"]: (r["start"], int(r["n"])) for r in ordered.groupBy("column").agg(
+        F.min("pos").alias("start"), F.count(F.lit(1)).alias("n")).collect()}
+    start = F.lit(0).cast("bigint")
+    for c, (first, _) in spans.items():
+        start = F.when(F.col("column") == F.lit(c), F.lit(first)).otherwise(start)
+    labels = ordered.select("column", "value", "count", (F.col("pos") - start).cast("double").alias("index"))
+    return LabelIndex(labels, {c: spans.get(c, (0, 0))[1] for c in cols})
+
+
+def nominal(col: str | Column, name: str, num_vals: int):
     """Attach ML nominal metadata so tree learners split the index as a category."""
     meta = {"ml_attr": {"type": "nominal", "num_vals": int(num_vals), "name": name}}
-    return F.col(col).alias(name, metadata=meta)
+    return (F.col(col) if isinstance(col, str) else col).alias(name, metadata=meta)
 
 
 def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy: str = "skip",
-                      suffix: str = "_index", broadcast_max: int = BROADCAST_MAX_LABELS,
-                      attach_metadata: bool = True, nominal_max_arity: int | None = None) -> DataFrame:
-    """T1/T2/T10 apply: one equi-join per column.
+                      suffix: str = "_index", attach_metadata: bool = True, rank_encoded=()) -> DataFrame:
+    """T1/T2/T10 apply: one equi-join per column; ``rank_encoded`` columns carry no nominal metadata.
 
     ``skip`` drops rows with a NULL or unseen value in any column (the
     original behaviour), ``keep`` gives them the extra index ``arity``,
@@ -101,8 +84,6 @@ def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy:
     for c in cols:
         k, v = f"_k_{c}", f"_v_{c}"
         lab = index.table(c).select(F.col("value").alias(k), F.col("index").alias(v))
-        if index.arity[c] <= broadcast_max:
-            lab = F.broadcast(lab)
         keyed = df.withColumn(k, F.col(c).cast("string"))
         out_col = c + suffix
         if policy == "skip":
@@ -118,7 +99,7 @@ def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy:
                 )).otherwise(F.col(v)).cast("double")
         df = df.withColumn(out_col, idx).drop(k, v)
         arity = index.arity[c] + (1 if policy == "keep" else 0)
-        if attach_metadata and (nominal_max_arity is None or arity <= nominal_max_arity):
+        if attach_metadata and c not in rank_encoded:
             df = df.withColumn(out_col, nominal(out_col, out_col, max(arity, 1)))
     return df
 
@@ -137,6 +118,15 @@ def unseen_report(df: DataFrame, index: LabelIndex, cols: list[str]) -> DataFram
     return wide.select(F.inline(rows))
 
 
+def unseen_flagged(df: DataFrame, index: LabelIndex, cols: list[str], flag: str = "rejected") -> DataFrame:
+    """All rows, in one pass, with whether the ``skip`` policy would drop them."""
+    kept = apply_label_index(df, index, cols, policy="keep", suffix="_idx", attach_metadata=False)
+    out = F.lit(False)
+    for c in cols:
+        out = out | (F.col(c + "_idx") == F.lit(float(index.arity[c])))
+    return kept.withColumn(flag, out).drop(*[c + "_idx" for c in cols])
+
+
 def check_one_hot_columns(index: LabelIndex, cols: list[str]) -> list[str]:
     """T3 limit: a column with a single category cannot be one-hot encoded with dropLast."""
     return [c for c in cols if index.arity[c] < 2]
@@ -161,8 +151,7 @@ class FeatureModel:
     index: LabelIndex
     stages: PipelineModel
     policy: str = "skip"
-    broadcast_max: int = BROADCAST_MAX_LABELS
-    nominal_max_arity: int | None = None
+    rank_encoded: tuple[str, ...] = ()
     extra: dict = field(default_factory=dict)
 
     @property
@@ -170,14 +159,16 @@ class FeatureModel:
         return self.low_card + self.high_card
 
     def nominal_columns(self) -> list[str]:
-        extra = 1 if self.policy == "keep" else 0
-        cap = self.nominal_max_arity
-        return [c for c in self.categorical if cap is None or self.index.arity[c] + extra <= cap]
+        """Columns that trees see as categories: declared, whatever the data's size."""
+        return [c for c in self.categorical if c not in self.rank_encoded]
 
-    def max_bins(self, floor: int = 32) -> int:
-        """Smallest legal ``maxBins`` for tree learners (arity of every nominal index)."""
+    def check_bins(self, max_bins: int) -> int:
+        """``max_bins`` if it holds every nominal column's categories, else an error naming the columns."""
         extra = 1 if self.policy == "keep" else 0
-        return max([floor] + [self.index.arity[c] + extra for c in self.nominal_columns()])
+        over = {c: self.index.arity[c] + extra for c in self.nominal_columns() if self.index.arity[c] + extra > max_bins}
+        if over:
+            raise ValueError(f"maxBins {max_bins} is below the number of categories of {over}: raise it, or declare them rank_encoded")
+        return max_bins
 
     def feature_names(self) -> list[str]:
         names = [f"{c}_scaled" for c in self.numeric]
@@ -188,16 +179,27 @@ class FeatureModel:
         return names
 
     def transform(self, df: DataFrame) -> DataFrame:
-        indexed = apply_label_index(df, self.index, self.categorical, self.policy,
-                                    broadcast_max=self.broadcast_max, nominal_max_arity=self.nominal_max_arity)
-        return self.stages.transform(indexed)
+        return self.stages.transform(apply_label_index(df, self.index, self.categorical, self.policy, rank_encoded=self.rank_encoded))
+
+    def transform_flagged(self, df: DataFrame, flag: str = "rejected") -> DataFrame:
+        """All rows of ``df``: ``flag`` marks those with a NULL or unseen category, whose features stand at index 0."""
+        seen = apply_label_index(df, self.index, self.categorical, "keep", attach_metadata=False)
+        unseen = F.lit(False)
+        for c in self.categorical:
+            unseen = unseen | (F.col(c + "_index") == F.lit(float(self.index.arity[c])))
+        seen = seen.withColumn(flag, unseen)
+        for c in self.categorical:
+            i = c + "_index"
+            known = F.when(F.col(i) == F.lit(float(self.index.arity[c])), F.lit(0.0)).otherwise(F.col(i))
+            seen = seen.withColumn(i, known if c in self.rank_encoded else nominal(known, i, max(self.index.arity[c], 1)))
+        return self.stages.transform(seen)
 
     def save(self, path: str) -> None:
         self.index.labels.write.mode("overwrite").parquet(f"{path}/labels")
         self.stages.write().overwrite().save(f"{path}/stages")
         meta = {"profile": self.profile_name, "low_card": self.low_card, "high_card": self.high_card,
                 "numeric": self.numeric, "arity": self.index.arity, "policy": self.policy,
-                "broadcast_max": self.broadcast_max, "nominal_max_arity": self.nominal_max_arity}
+                "rank_encoded": list(self.rank_encoded)}
         spark = self.index.labels.sparkSession
         spark.createDataFrame([(json.dumps(meta),)], "meta string").write.mode("overwrite").json(f"{path}/meta")
 
@@ -207,33 +209,33 @@ class FeatureModel:
         labels = spark.read.parquet(f"{path}/labels")
         return cls(meta["profile"], meta["low_card"], meta["high_card"], meta["numeric"],
                    LabelIndex(labels, {k: int(v) for k, v in meta["arity"].items()}),
-                   PipelineModel.load(f"{path}/stages"), meta["policy"], meta["broadcast_max"],
-                   meta.get("nominal_max_arity"))
+                   PipelineModel.load(f"{path}/stages"), meta["policy"], tuple(meta["rank_encoded"]))
 
 
 class FeatureBuilder:
     """Index (label tables) -> one-hot -> numeric assemble -> scale -> final assemble."""
 
     def __init__(self, profile: Profile | None = None, low_card=None, high_card=None, numeric=None,
-                 policy: str = "skip", broadcast_max: int = BROADCAST_MAX_LABELS,
-                 features_col: str = "features", nominal_max_arity: int | None = NOMINAL_MAX_ARITY):
+                 policy: str = "skip", features_col: str = "features", rank_encoded=None):
         self.profile_name = profile.name if profile else "custom"
         self.low_card = list(low_card if low_card is not None else profile.low_card)
         self.high_card = list(high_card if high_card is not None else profile.high_card)
         self.numeric = list(numeric if numeric is not None else profile.numeric)
         self.policy = policy
-        self.broadcast_max = broadcast_max
         self.features_col = features_col
-        self.nominal_max_arity = nominal_max_arity
+        self.rank_encoded = tuple(rank_encoded if rank_encoded is not None else profile.rank_encoded if profile else ())
 
     def fit(self, train: DataFrame) -> FeatureModel:
         index = fit_label_index(train, self.low_card + self.high_card)
         single = check_one_hot_columns(index, self.low_card)
         if single:
             raise ValueError(f"columns with one category cannot be one-hot encoded: {single}")
-        indexed = apply_label_index(train, index, self.low_card + self.high_card, self.policy,
-                                    broadcast_max=self.broadcast_max,
-                                    nominal_max_arity=self.nominal_max_arity).persist(StorageLevel.MEMORY_AND_DISK)
+        cats = self.low_card + self.high_card
+        extra = 1 if self.policy == "keep" else 0
+        # On the side that fitted the index, only NULL categories are unseen; the encoder reads its
+        # widths from metadata and the scaler the numeric columns alone, so no index is joined here.
+        kept = train if self.policy == "keep" else train.dropna(how="any", subset=cats)
+        indexed = kept.select(*self.numeric, *[nominal(F.lit(0.0), c + "_index", max(index.arity[c] + extra, 1)) for c in cats])
         low_idx = [c + "_index" for c in self.low_card]
         low_ohe = [c + "_OHE" for c in self.low_card]
         stages = [
@@ -244,13 +246,12 @@ class FeatureBuilder:
                             outputCol=self.features_col),
         ]
         model = Pipeline(stages=stages).fit(indexed)
-        indexed.unpersist()
         return FeatureModel(self.profile_name, self.low_card, self.high_card, self.numeric, index, model,
-                            self.policy, self.broadcast_max, self.nominal_max_arity)
+                            self.policy, self.rank_encoded)
 
 
-def hashed_features(df: DataFrame, cols: list[str], num_features: int = 1 << 18,
-                    out: str = "hashed") -> DataFrame:
+def hashed_features(df: DataFrame, categorical: list[str], numeric: list[str] = (), num_features: int = 1 << 18,
+                    out: str = "features") -> DataFrame:
     """The hashing alternative for very high-cardinality columns (no fit, no table)."""
-    return FeatureHasher(inputCols=cols, outputCol=out, numFeatures=num_features,
-                         categoricalCols=cols).transform(df)
+    return FeatureHasher(inputCols=[*categorical, *numeric], outputCol=out, numFeatures=num_features,
+                         categoricalCols=list(categorical)).transform(df)

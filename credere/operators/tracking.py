@@ -62,11 +62,15 @@ class Tracker:
 
     def log_model(self, run_id: str, model, name: str = "model") -> str:
         path = self.artifact_path(run_id, name)
-        model.write().overwrite().save(path)
+        if hasattr(model, "write"):
+            model.write().overwrite().save(path)
+        else:  # a FeatureModel: label tables and stages
+            model.save(path)
         return path
 
     def load_model(self, run_id: str, model_cls, name: str = "model"):
-        return model_cls.load(self.artifact_path(run_id, name))
+        path = self.artifact_path(run_id, name)
+        return model_cls.load(path) if hasattr(model_cls, "read") else model_cls.load(self.spark, path)
 
     def end_run(self, run_id: str, status: int = FINISHED) -> None:
         r = self._open.pop(run_id)

@@ -1,8 +1,7 @@
 """Distributed classifiers, sweeps and tuning.
 
 All trainers are MLlib estimators (distributed by design). We add what the
-original sweep lacked: fixed seeds, ``maxBins`` derived from the fitted
-category arities, tree memory scaled with bins x features, and the feature
+original sweep lacked: fixed seeds, tree memory scaled with bins x features within a budget, and the feature
 frames persisted once for the whole sweep instead of re-transforming the
 test split per model.
 """
@@ -27,17 +26,20 @@ from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .evaluate import metric_bundle, score_from_raw  # noqa: F401
+from .evaluate import metric_bundle, score_from_raw
+from .tracking import FAILED
 
 SEED = 42
+# The swept models' names.
 MODEL_NAMES = ("Logistic Regression", "Support Vector Machine", "Factorization Machine",
                "Decision Tree", "Random Forest", "Gradient Boosting Trees")
 
 
-def tree_memory_mb(max_bins: int, n_features: int, n_classes: int = 2) -> int:
-    """Room for at least 64 nodes' bin statistics per pass (MLlib default is 256 MB)."""
+def tree_memory_mb(max_bins: int, n_features: int, n_classes: int = 2, budget_mb: int = 8192) -> int:
+    """Room for 64 nodes' bin statistics per pass (MLlib default is 256 MB), within ``budget_mb``.
+    Less room means more passes, never another model."""
     per_node = max_bins * max(n_features, 1) * max(n_classes, 2) * 3 * 8
-    return int(min(8192, max(256, math.ceil(per_node * 64 / (1 << 20)))))
+    return int(min(budget_mb, max(256, math.ceil(per_node * 64 / (1 << 20)))))
 
 
 def estimator(name: str, features_col: str = "features", label_col: str = "label", max_bins: int = 32,
@@ -88,11 +90,13 @@ def sweep(train: DataFrame, test: DataFrame, names=MODEL_NAMES, label_col: str =
     """M8: fit, score and evaluate each estimator on ONE persisted pair of feature frames.
 
     Returns {name: (model, metrics dict, seconds)}; with a tracker every run is
-    recorded (params, metrics, model artifact).
+    recorded (params, metrics, model artifact), a failing one as FAILED before its
+    error is raised. Frames that the caller has persisted stay so.
     """
     keep = keep or [label_col]
-    train = train.persist(StorageLevel.MEMORY_AND_DISK)
-    test = test.persist(StorageLevel.MEMORY_AND_DISK)   # scored once per model
+    own = [df for df in (train, test) if not df.is_cached]
+    for df in own:
+        df.persist(StorageLevel.MEMORY_AND_DISK)
     results = {}
     try:
         for name in names:
@@ -100,19 +104,26 @@ def sweep(train: DataFrame, test: DataFrame, names=MODEL_NAMES, label_col: str =
                             **overrides.get(name, {}))
             run = tracker.start_run(experiment, name) if tracker else None
             t0 = time.time()
-            model = est.fit(train)
-            preds = predict(model, test, keep)
-            metrics = {r["metric"]: r["value"] for r in metric_bundle(preds, label=label_col).collect()}
-            secs = time.time() - t0
+            try:
+                if tracker:
+                    tracker.log_params(run, hyperparams(est))
+                model = est.fit(train)
+                preds = predict(model, test, keep).persist(StorageLevel.MEMORY_AND_DISK)  # read by two aggregations
+                metrics = {r["metric"]: r["value"] for r in metric_bundle(preds, label=label_col).collect()}
+                preds.unpersist()
+                if tracker:
+                    tracker.log_metrics(run, metrics)
+                    tracker.log_model(run, model, "model")
+            except Exception:
+                if tracker:
+                    tracker.end_run(run, FAILED)
+                raise
             if tracker:
-                tracker.log_params(run, hyperparams(est))
-                tracker.log_metrics(run, metrics)
-                tracker.log_model(run, model, "model")
                 tracker.end_run(run)
-            results[name] = (model, metrics, secs)
+            results[name] = (model, metrics, time.time() - t0)
     finally:
-        train.unpersist()
-        test.unpersist()
+        for df in own:
+            df.unpersist()
     return results
 
 

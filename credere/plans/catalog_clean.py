@@ -361,4 +361,6 @@ def q_hash_split(spark, sf):
 @register("random_split")
 def q_random_split(spark, sf):
     """Native seeded 80/20 split, training side (rows-only check)."""
-    return L.random_split(cleaned(spark, sf), (0.8, 0.2), seed=100)[0]
+    sides = L.random_split(cleaned(spark, sf), (0.8, 0.2), seed=100)
+    train, test = (df.withColumn("split", F.lit(name)) for df, name in zip(sides, ("train", "test"), strict=True))
+    return train.unionByName(test)

@@ -16,7 +16,6 @@ from ..operators.split import hash_split
 from ..operators.tracking import Tracker, leaderboard
 from ..profile import LINEITEM as PR
 from ..session import scratch_path
-from ..sources.delimited import stage_table
 from ..sources.tables import balanced, dirty_lineitem_columns, table
 from .catalog_clean import EXACT, _sql, cleaned, typed
 from .cleaning import clean_typed, typed_table
@@ -31,16 +30,10 @@ ARITY_DOMAIN = {"l_linestatus": 2, "l_linenumber": 7}   # fixed by the data's do
 
 
 def staged_clean(spark, sf):
-    """Cleaned table over a typed table staged as Parquet in the shared folder (lineage cut).
-
-    The raw scan is cast once and written (spread over the cores only when the
-    input has fewer splits than that); the imputation statistics - still over
-    all typed rows, before the filters - and the narrow impute/filter/label
-    steps then read the staged files in parallel.
-    """
+    """Cleaned table: the statistics are fitted on pruned scans, before the filters, and applied
+    as literals in one narrow plan. Nothing is written."""
     scan = balanced(table(spark, sf, "lineitem"))
-    staged = stage_table(typed_table(dirty_lineitem_columns(scan), PR), scratch_path(spark, "typed"))
-    return clean_typed(staged, PR, relative_error=EXACT).df
+    return clean_typed(typed_table(dirty_lineitem_columns(scan), PR), PR, relative_error=EXACT).df
 
 
 def train_test(spark, sf, staged=None):
@@ -240,12 +233,25 @@ _TEST_COLS = [c for c in PR.names if c != PR.label_code] + [PR.label_out]
 @register("rejected_rows", _sql(f"SELECT {', '.join('t.' + c for c in _TEST_COLS)} FROM flags t WHERE "
                                 + " OR ".join(f"f{i}" for i in range(len(CATS))), extra=_flags_sql()))
 def q_rejected_rows(spark, sf):
-    """Held-out rows that got no score (left anti join on a checkpointed row id)."""
+    """Held-out rows that get no score, flagged in one pass."""
     train, test = train_test(spark, sf)
+    return X.rejected_rows(test, T.fit_label_index(train, CATS), CATS)
+
+
+_ROLES_SQL = " UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", '{'rank' if c in PR.rank_encoded else 'nominal'}' AS treatment, "
+    f"CAST(count(DISTINCT {c}) AS BIGINT) AS categories, CAST({PR.tree_bins} AS INTEGER) AS bins FROM train" for c in CATS)
+
+
+@register("feature_roles", _sql(_ROLES_SQL, extra=dict(SPLIT)))
+def q_feature_roles(spark, sf):
+    """How trees see each categorical column, as declared, with its categories on the training side."""
+    train, _ = train_test(spark, sf)
     fm = T.FeatureBuilder(PR).fit(train)
-    with_id = X.with_row_id(test)
-    scored = fm.transform(with_id)
-    return X.rejected_rows(with_id, scored).drop("_row")
+    fm.check_bins(PR.tree_bins)
+    nominal = fm.nominal_columns()
+    rows = [(c, "nominal" if c in nominal else "rank", fm.index.arity[c], PR.tree_bins) for c in CATS]
+    return spark.createDataFrame(rows, "`column` string, treatment string, categories bigint, bins int")
 
 
 # ------------------------------------------------------------ evaluation over a rule-based prediction
@@ -456,7 +462,7 @@ def _row_counts_sql():
 @register("row_counts", _row_counts_sql())
 def q_row_counts(spark, sf):
     """A1: rows after each stage (raw, typed, cleaned, train, test) - the counts the original
-    notebooks checked by eye, as one table; raw/typed in one scan, the rest on the staged table."""
+    notebooks checked by eye, as one table."""
     from ..operators.quality import row_count
     from .catalog_clean import raw
     staged = staged_clean(spark, sf)

@@ -8,20 +8,21 @@ from __future__ import annotations
 
 from pyspark import StorageLevel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
-from pyspark.ml.feature import FeatureHasher
 from pyspark.sql import functions as F
 
 from ..operators import features as T
 from ..operators import score as X
 from ..operators import train as M
+from ..operators.evaluate import metric_bundle
 from ..operators.tracking import Tracker
 from ..profile import LINEITEM as PR
 from ..session import scratch_path
-from ..sources.tables import dirty_lineitem_columns, table
+from ..sources.tables import balanced, dirty_lineitem_columns, table
 from ..streaming.score_stream import score_stream
 from .catalog_clean import EXACT
 from .catalog_features import staged_clean, train_test
-from .cleaning import clean_table
+from .cleaning import clean_table, row_filters, typed_table
+from .job import DEFAULT_GRID
 from .registry import register
 
 KEEP = ["l_orderkey", "l_linenumber", "label"]
@@ -42,7 +43,7 @@ def _features(spark, sf, staged=None):
 def _fit_query(name):
     def q(spark, sf):
         fm, train, test = _features(spark, sf)
-        est = M.estimator(name, max_bins=fm.max_bins(), n_features=len(fm.feature_names()))
+        est = M.estimator(name, max_bins=fm.check_bins(PR.tree_bins), n_features=len(fm.feature_names()))
         model = est.fit(train)
         train.unpersist()
         return M.predict(model, test, KEEP)
@@ -63,22 +64,21 @@ def q_model_sweep(spark, sf):
     returns the run_metrics table (run, metric, value)."""
     fm, train, test = _features(spark, sf)
     tracker = Tracker(spark, scratch_path(spark, "sweep"))
-    M.sweep(train, test, label_col="label", max_bins=fm.max_bins(), n_features=len(fm.feature_names()),
+    M.sweep(train, test, label_col="label", max_bins=fm.check_bins(PR.tree_bins), n_features=len(fm.feature_names()),
             tracker=tracker, experiment="lineitem", keep=KEEP)
     runs = tracker.runs().select("run_id", "name")
     return tracker.metrics().join(runs, "run_id").select("name", "key", "value")
 
 
 @register("tune_gbt")
-def q_tune_gbt(spark, sf):
-    """train/validation split tuning of GBT over maxDepth x stepSize (the library takes
-    any grid; this registered run uses 2 x 2 points), best model refitted and scored."""
+def q_tune_gbt(spark, sf, max_iter: int = 2):
+    """train/validation split tuning of GBT over all 27 points of the original grid, the best
+    refitted; (metric, value) of the held-out side. ``max_iter`` trees a point."""
     fm, train, test = _features(spark, sf)
-    gbt = M.estimator("Gradient Boosting Trees", max_bins=fm.max_bins(), n_features=len(fm.feature_names()))
-    grid = M.param_grid(gbt, {"maxDepth": [3, 5], "stepSize": [0.1, 0.2]})
-    tuned = M.tune(gbt, grid, train, parallelism=2)
+    gbt = M.estimator("Gradient Boosting Trees", max_bins=fm.check_bins(PR.tree_bins), n_features=len(fm.feature_names()), maxIter=max_iter)
+    tuned = M.tune(gbt, M.param_grid(gbt, DEFAULT_GRID), train, parallelism=4)
     train.unpersist()
-    return M.predict(tuned.bestModel, test, KEEP)
+    return metric_bundle(M.predict(tuned.bestModel, test, ["label"]))
 
 
 @register("bulk_score")
@@ -101,11 +101,10 @@ def q_bulk_score(spark, sf):
 def q_stream_score(spark, sf):
     """The raw lineitem file read as a stream, cleaned with the fitted statistics, featurised
     with the fitted model and scored by GBT; availableNow trigger, checkpointed, Parquet sink."""
-    cleaned = clean_table(table(spark, sf, "lineitem").transform(dirty_lineitem_columns), PR, relative_error=EXACT)
-    train, _ = train_test(spark, sf)
-    fm = T.FeatureBuilder(PR).fit(train)
-    gbt = M.estimator("Gradient Boosting Trees", max_bins=fm.max_bins(),
-                      n_features=len(fm.feature_names())).fit(fm.transform(train))
+    cleaned = clean_table(balanced(table(spark, sf, "lineitem")).transform(dirty_lineitem_columns), PR, relative_error=EXACT)
+    fm, train, _ = _features(spark, sf, cleaned.df)
+    gbt = M.estimator("Gradient Boosting Trees", max_bins=fm.check_bins(PR.tree_bins), n_features=len(fm.feature_names())).fit(train)
+    train.unpersist()
     root = scratch_path(spark, "stream")
     gbt.write().overwrite().save(f"{root}/gbt")
     model = GBTClassificationModel.load(f"{root}/gbt")
@@ -113,36 +112,32 @@ def q_stream_score(spark, sf):
     schema = table(spark, sf, "lineitem").schema
 
     def prepare(stream):
-        from .cleaning import row_filters, typed_table
-        from ..operators.columns import binarise_label
         typed = typed_table(dirty_lineitem_columns(stream), PR)
-        out = row_filters(impute.transform(typed), PR)
-        return binarise_label(out, PR.label_code, PR.label_positive, PR.label_out)
+        return row_filters(impute.transform(typed), PR)   # scoring needs no outcome
 
-    score_stream(spark, sf.rstrip("/"), schema, prepare, fm, model, KEEP,
-                 f"{root}/scored", f"{root}/checkpoint", options={"pathGlobFilter": "lineitem.parquet"})
+    score_stream(spark, f"{sf.rstrip('/')}/lineitem.parquet", schema, prepare, fm, model, KEEP[:2],
+                 f"{root}/scored", f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/scored")
 
 
 @register("score_rows")
 def q_score_rows(spark, sf):
-    """Held-out rows re-validated against the typed scoring schema with the label
-    defaulted to 0, then scored (the form's path, for a whole table)."""
-    fm, train, _ = _features(spark, sf)
+    """X2 in bulk: held-out rows with the label defaulted to 0, scored, rejected rows included."""
+    staged = staged_clean(spark, sf)
+    fm, train, _ = _features(spark, sf, staged)
     lr = M.estimator("Logistic Regression").fit(train)
     train.unpersist()
-    _, test = train_test(spark, sf)
+    _, test = train_test(spark, sf, staged)
     schema_cols = [c for c in PR.names if c != PR.label_code]
     rows = test.select(*schema_cols, F.lit(None).cast("int").alias("label"))
     rows = rows.withColumn("label", F.coalesce(F.col("label"), F.lit(0)))
-    return M.predict(lr, fm.transform(rows), KEEP)
+    return X.flagged_predictions(rows, fm, lr, KEEP)
 
 
 @register("feature_hash")
 def q_feature_hash(spark, sf):
-    """Hashed high-cardinality columns (no fitted table) feeding logistic regression."""
+    """All categorical columns hashed (no fitted table) beside the numeric ones, feeding logistic regression."""
     train, test = train_test(spark, sf)
-    hasher = FeatureHasher(inputCols=list(PR.high_card) + list(PR.numeric), outputCol="features",
-                           categoricalCols=list(PR.high_card), numFeatures=1 << 12)
-    model = M.estimator("Logistic Regression").fit(hasher.transform(train))
-    return M.predict(model, hasher.transform(test), KEEP)
+    train, test = (df.dropna(subset=list(PR.numeric)) for df in (train, test))
+    model = M.estimator("Logistic Regression").fit(T.hashed_features(train, PR.categorical, PR.numeric))
+    return M.predict(model, T.hashed_features(test, PR.categorical, PR.numeric), KEEP)

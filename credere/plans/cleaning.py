@@ -11,10 +11,11 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
+from ..functions.ranking import stable_bucket
 from ..operators.clean import ImputeModel, fit_impute, nonzero_filter, sentinel_filter
 from ..operators.columns import binarise_label, drop_columns, select_groups, typed_cast
-from ..operators.split import hash_split
 from ..profile import Profile
 
 
@@ -25,10 +26,25 @@ class Cleaned:
     typed: DataFrame
 
 
-def typed_table(raw: DataFrame, profile: Profile) -> DataFrame:
-    """Select the profile's raw columns, drop the unused ones, cast in one projection."""
+BUCKET = "split_bucket"
+
+
+def typed_table(raw: DataFrame, profile: Profile, bucket: bool = False) -> DataFrame:
+    """Select the profile's raw columns, drop the unused ones, cast in one projection.
+
+    With ``bucket`` each row carries the bucket that places it on a side of the split, taken from
+    the raw row without its outcome: no later step can move a row to the other side.
+    """
     selected = select_groups(raw, profile.raw_columns)
-    return typed_cast(drop_columns(selected, *profile.drop_cols), profile)
+    if not bucket:
+        return typed_cast(drop_columns(selected, *profile.drop_cols), profile)
+    marked = selected.select("*", stable_bucket(profile.raw_split_key, 100).alias(BUCKET))
+    return typed_cast(drop_columns(marked, *profile.drop_cols), profile, keep_other=True)
+
+
+def split_by_bucket(df: DataFrame, train_percent: int = 80) -> tuple[DataFrame, DataFrame]:
+    """(train, held-out) by the carried bucket, which is dropped."""
+    return df.filter(F.col(BUCKET) < train_percent).drop(BUCKET), df.filter(F.col(BUCKET) >= train_percent).drop(BUCKET)
 
 
 def row_filters(df: DataFrame, profile: Profile) -> DataFrame:
@@ -37,26 +53,24 @@ def row_filters(df: DataFrame, profile: Profile) -> DataFrame:
 
 
 def clean_table(raw: DataFrame, profile: Profile, fit_on: str = "all", strict_label: bool = False,
-                relative_error: float = 0.001, train_percent: int = 80,
-                fit_raw: DataFrame | None = None) -> Cleaned:
-    """``fit_raw`` (default ``raw``) is the frame the statistics are fitted on - the same rows,
-    possibly planned differently (e.g. ``raw`` spread over more partitions for the row-wise pass)."""
-    typed = typed_table(raw, profile)
-    fit_typed = typed if fit_raw is None else typed_table(fit_raw, profile)
-    return clean_typed(typed, profile, fit_on, strict_label, relative_error, train_percent, fit_typed)
+                relative_error: float = 0.001, train_percent: int = 80, bucket: bool = False) -> Cleaned:
+    """The whole job on raw rows; with ``bucket`` the result keeps the split bucket for ``split_by_bucket``."""
+    typed = typed_table(raw, profile, bucket=bucket or fit_on == "train")
+    out = clean_typed(typed, profile, fit_on, strict_label, relative_error, train_percent)
+    if BUCKET in typed.columns and not bucket:
+        return Cleaned(out.df.drop(BUCKET), out.impute, typed.drop(BUCKET))
+    return out
 
 
 def clean_typed(typed: DataFrame, profile: Profile, fit_on: str = "all", strict_label: bool = False,
-                relative_error: float = 0.001, train_percent: int = 80,
-                fit_typed: DataFrame | None = None) -> Cleaned:
-    """The cleaning steps after the cast (impute -> filter -> label), e.g. on a staged typed table."""
-    fit_typed = typed if fit_typed is None else fit_typed
+                relative_error: float = 0.001, train_percent: int = 80) -> Cleaned:
+    """The cleaning steps after the cast (impute -> filter -> label)."""
     if fit_on == "all":
-        source = fit_typed
+        source = typed
     elif fit_on == "filtered":
-        source = row_filters(fit_typed, profile)
+        source = row_filters(typed, profile)
     elif fit_on == "train":
-        source = hash_split(fit_typed, profile.split_key, train_percent)[0]
+        source = split_by_bucket(typed, train_percent)[0]
     else:
         raise ValueError(f"fit_on must be all, filtered or train, not {fit_on!r}")
     model = fit_impute(source, profile.median_cols, profile.mean_cols, profile.mode_cols,

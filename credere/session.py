@@ -52,7 +52,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
-        # Local runs only: the cluster always names a shared folder.
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         configured = os.environ.get(_SCRATCH_ENV) or tempfile.mkdtemp(prefix="credere-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

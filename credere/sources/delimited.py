@@ -56,18 +56,15 @@ def write_parquet(df: DataFrame, path: str, partition_by: list[str] | None = Non
     return path
 
 
-def stage_table(df: DataFrame, path: str, min_files: int | None = None) -> DataFrame:
+def stage_table(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet under a shared folder and read it back (cuts lineage).
 
     Later passes scan the written table instead of recomputing the plan, and
-    a lost executor only costs re-reading files. When the plan has fewer
-    partitions than the cluster's parallelism (tiny or single-row-group
-    inputs) the rows are spread over ``min_files`` files first; a large
-    input keeps its own partitioning, so no shuffle is added at scale.
+    a lost executor only costs re-reading files. With ``files`` the rows are
+    dealt to so many files first; by default they stay as they are partitioned.
     """
-    target = min_files or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        df = df.repartition(target)
+    if files:
+        df = df.repartition(files)
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 

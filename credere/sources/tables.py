@@ -14,23 +14,21 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
-def table(spark: SparkSession, sf_dir: str, name: str, balance: bool = False) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return balanced(df) if balance else df
+SCAN_PARTITIONS = "spark.credere.scanPartitions"
 
 
-def balanced(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Spread row-level work over every core when the scan yields too few splits.
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
-    A file written as one row group is read by one task however it is split.
-    Only then (fewer input partitions than the default parallelism) is a
-    round-robin repartition added; a large input already has enough splits
-    and is left as scanned, so no shuffle is added at scale.
+
+def balanced(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """The rows dealt to ``partitions`` tasks: for a file of one row group, which one task reads.
+
+    Without the argument, the session setting ``spark.credere.scanPartitions`` decides; without
+    either the scan stays as it is, which is right for any table of many files.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < target:
-        return df.repartition(target)
-    return df
+    n = partitions or int(df.sparkSession.conf.get(SCAN_PARTITIONS, "0"))
+    return df.repartition(n) if n else df
 
 
 def _text(c):

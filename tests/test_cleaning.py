@@ -124,9 +124,12 @@ def test_exact_quantile_matches_sorted_rank(spark):
     assert C.exact_quantile(_one(spark, [None], "double"), "x") is None
 
 
-def test_exact_quantile_distributed_path(spark, monkeypatch):
+def test_exact_quantile_of_repeated_values(spark):
     vals = [float(v % 97) for v in range(2000)]
-    df = _one(spark, vals, "double")
-    small = C.exact_quantile(df, "x", 0.5)
-    monkeypatch.setattr(C, "WINDOW_RANK_MAX", 1)
-    assert C.exact_quantile(df, "x", 0.5) == small == sorted(vals)[999]
+    assert C.exact_quantile(_one(spark, vals, "double"), "x", 0.5) == sorted(vals)[999]
+
+
+def test_approximate_median_is_within_its_rank_error(spark):
+    vals = [float(v * 7919 % 100_003) for v in range(20_000)]
+    got = C.fit_impute(_one(spark, vals, "double"), median=["x"], relative_error=0.001).median["x"]
+    assert abs(sorted(vals).index(got) + 1 - 10_000) <= 0.001 * 20_000 + 1

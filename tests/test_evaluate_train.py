@@ -2,11 +2,13 @@
 
 import math
 
+import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from credere.operators import evaluate as E
+from credere.operators import features as T
 from credere.operators import score as X
 from credere.operators import train as M
 from credere.operators.tracking import Tracker, leaderboard
@@ -98,14 +100,71 @@ def test_domain_violations_and_decode(spark):
 
 
 def test_rejected_rows(spark):
-    inputs = X.with_row_id(spark.createDataFrame([(1,), (2,), (3,)], "v int"))
-    scored = inputs.filter(F.col("v") != 2)
-    assert [r.v for r in X.rejected_rows(inputs, scored).collect()] == [2]
+    train = spark.createDataFrame([("a", "p"), ("b", "q")], "c string, d string")
+    inputs = spark.createDataFrame([("a", "q"), ("z", "q"), ("b", None), ("z", "y")], "c string, d string")
+    got = X.rejected_rows(inputs, T.fit_label_index(train, ["c", "d"]), ["c", "d"])
+    assert got.columns == ["c", "d"] and sorted(map(str, map(tuple, got.collect()))) == ["('b', None)", "('z', 'q')", "('z', 'y')"]
+
+
+def _small(spark, n=200):
+    rows = [(f"c{i % 3}", float(i % 17), f"h{i % 5}", i % 2, i) for i in range(n)]
+    df = spark.createDataFrame(rows, "c string, v double, h string, label int, id long")
+    return df, T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"]).fit(df)
+
+
+def test_bulk_score_keeps_rejected_rows(spark):
+    df, fm = _small(spark)
+    lr = M.estimator("Logistic Regression").fit(fm.transform(df))
+    more = df.drop("label").unionByName(spark.createDataFrame([("new", 1.0, "h1", 900), ("c1", 1.0, None, 901)], "c string, v double, h string, id long"))
+    got = {r.id: r for r in X.bulk_score(more, fm, lr, ["id"]).collect()}
+    assert len(got) == 202 and {i for i, r in got.items() if r.rejected} == {900, 901} == {i for i, r in got.items() if r.prediction is None}
+    known = {r.id: r.score for r in M.predict(lr, fm.transform(df), ["id"]).collect()}
+    assert all(math.isclose(got[i].score, s) for i, s in known.items())
+
+
+def test_score_rows_checks_keys(spark):
+    df, fm = _small(spark)
+    lr = M.estimator("Logistic Regression").fit(fm.transform(df))
+    rows = [{"c": "c1", "v": 2.0, "h": "h1", "id": 1}, {"c": "zz", "v": 2.0, "h": "h1", "id": 2, "label": 1}]
+    got = {r.id: r for r in X.score_rows(spark, rows, df.schema, fm, lr, ["id", "label"], label_col="label").collect()}
+    assert got[1].label == 0 and got[1].prediction in (0.0, 1.0) and got[2].rejected and got[2].label == 1
+    for wrong in ({"c": "c1", "v": 2.0, "id": 1}, {"c": "c1", "v": 2.0, "h": "h1", "id": 1, "x": 3}):
+        with pytest.raises(ValueError, match="do not fit"):
+            X.score_rows(spark, [wrong], df.schema, fm, lr, ["id"], label_col="label")
+
+
+def test_sweep_leaves_the_callers_cache_and_records_failures(spark, tmp_path):
+    df, fm = _small(spark)
+    train, test = fm.transform(df).persist(), fm.transform(df)
+    tracker = Tracker(spark, str(tmp_path / "runs"))
+    M.sweep(train, test, names=["Decision Tree"], tracker=tracker, max_bins=32)
+    assert train.is_cached and not test.is_cached
+    with pytest.raises(Exception, match="maxBins"):
+        M.sweep(train, test, names=["Decision Tree"], tracker=tracker, max_bins=2)
+    assert sorted(r.status for r in tracker.runs().collect()) == [3, 4]
+    train.unpersist()
+
+
+def test_feature_model_is_logged_and_loaded_by_run(spark, tmp_path):
+    df, fm = _small(spark)
+    tracker = Tracker(spark, str(tmp_path / "runs"))
+    run = tracker.start_run("e", "features")
+    tracker.log_model(run, fm, "features")
+    tracker.end_run(run)
+    again = tracker.load_model(run, T.FeatureModel, "features")
+    a, b = (sorted((r.id, tuple(r.features)) for r in m.transform(df).collect()) for m in (fm, again))
+    assert a == b
+
+
+@pytest.mark.parametrize("label", [0, 1])
+def test_auc_of_one_class_equals_the_evaluator(spark, label):
+    df = spark.createDataFrame([(label, 0.2), (label, 0.7), (label, 0.7)], "label int, score double")
+    raw = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
+    assert E.auc_exact(df).first().areaUnderROC == raw.evaluate(df) == float(label)
+    assert E.auc_exact(df.limit(0)).first().areaUnderROC is None
 
 
-def test_auc_distributed_path_equals_window_path(spark):
-    df = spark.range(0, 3000).select((F.rand(5) > 0.5).cast("int").alias("label"),
-                                     F.round(F.rand(6) * 50).alias("score"))
-    a = E.auc_exact(df).first().areaUnderROC
-    b = E.auc_exact(df, window_rank_max=1).first().areaUnderROC
-    assert math.isclose(a, b, rel_tol=1e-12)
+def test_auc_with_ties_equals_the_evaluator(spark):
+    df = spark.range(0, 3000).select((F.rand(5) > 0.5).cast("int").alias("label"), F.round(F.rand(6) * 50).alias("score"))
+    raw = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
+    assert math.isclose(E.auc_exact(df).first().areaUnderROC, raw.evaluate(df), rel_tol=1e-12)

@@ -3,8 +3,13 @@
 import os
 import random
 
+import pytest
+from pyspark.sql import functions as F
+
+from credere.plans.cleaning import clean_table, split_by_bucket, typed_table
 from credere.plans.job import run_job
 from credere.profile import LOAN
+from credere.sources.delimited import read_delimited
 
 _AGES = ["<25", "25-34", "35-44", "45-54", "55-64", "65-74", ">74", "NA"]
 
@@ -49,3 +54,27 @@ def test_job_end_to_end(spark, tmp_path):
     assert cleaned.filter("state_code = 'NA' OR county_code = 'NA' OR property_value = 0 OR total_units = 0").count() == 0
     assert set(r.action_taken for r in cleaned.select("action_taken").distinct().collect()) <= {0, 1}
     assert cleaned.filter("income IS NULL OR interest_rate IS NULL").count() == 0
+
+
+def test_no_row_changes_sides_after_cleaning(spark, tmp_path):
+    src = tmp_path / "loans.txt"
+    _loan_file(src, n=900)
+    raw = read_delimited(spark, str(src))
+    typed = typed_table(raw, LOAN, bucket=True)
+    assert typed.filter("split_bucket < 80").count() not in (0, 900)
+    # a training side fitted on its own statistics: changing a held-out outcome or income moves nothing
+    one = clean_table(raw, LOAN, fit_on="train", relative_error=0.0)
+    moved = raw.withColumn("action_taken", F.lit("1"))
+    two = clean_table(moved, LOAN, fit_on="train", relative_error=0.0)
+    assert one.impute == two.impute
+    kept = clean_table(raw, LOAN, bucket=True).df
+    side = {r.split_bucket for r in kept.select("split_bucket").distinct().collect()} - {r.split_bucket for r in typed.select("split_bucket").distinct().collect()}
+    train, test = split_by_bucket(kept)
+    assert not side and train.count() + test.count() == kept.count() and "split_bucket" not in train.columns
+
+
+def test_grid_below_the_arity_is_an_error(spark, tmp_path):
+    src = tmp_path / "loans.txt"
+    _loan_file(src)
+    with pytest.raises(ValueError, match="derived_msa_md"):
+        run_job(spark, str(src), str(tmp_path / "out"), models=(), tune=True, grid={"maxBins": [8, 64]})

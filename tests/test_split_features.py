@@ -1,5 +1,8 @@
 """Splits, label index, one-hot, scaling, feature model round trip."""
 
+from collections import Counter
+
+import pytest
 from pyspark.ml.feature import StringIndexer
 from pyspark.sql import functions as F
 
@@ -56,7 +59,6 @@ def test_unseen_policies_and_report(spark):
 
 def test_single_category_rejected(spark):
     df = spark.createDataFrame([("a", 1.0), ("a", 2.0)], "c string, v double")
-    import pytest
     with pytest.raises(ValueError):
         T.FeatureBuilder(low_card=["c"], high_card=[], numeric=["v"]).fit(df)
 
@@ -69,7 +71,7 @@ def test_one_hot_drop_last_and_constant_scale(spark):
     got = {(r.c, r.v_scaled, r.c_ohe_0, r.c_ohe_1) for r in rows}
     # a and b tie on count (2) and come first by text; c is the dropped last category
     assert got == {("a", 0.0, 1.0, 0.0), ("b", 0.0, 0.0, 1.0), ("c", 0.0, 0.0, 0.0)}
-    assert fm.max_bins() == 32
+    assert fm.check_bins(32) == 32
 
 
 def test_feature_model_save_load_roundtrip(spark, tmp_path):
@@ -85,17 +87,36 @@ def test_feature_model_save_load_roundtrip(spark, tmp_path):
 def test_nominal_metadata_bounded(spark):
     df = spark.range(0, 200).select((F.col("id") % 50).cast("string").alias("h"), F.lit(1.0).alias("v"),
                                     (F.col("id") % 2).cast("string").alias("c"))
-    fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"], nominal_max_arity=10).fit(df)
-    assert fm.max_bins() == 32 and fm.nominal_columns() == ["c"]
-    fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"], nominal_max_arity=None).fit(df)
-    assert fm.max_bins() == 50
+    fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"], rank_encoded=["h"]).fit(df)
+    assert fm.check_bins(32) == 32 and fm.nominal_columns() == ["c"]
+    fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"]).fit(df)
+    assert fm.check_bins(50) == 50
+    with pytest.raises(ValueError, match="'h': 50"):
+        fm.check_bins(49)
+
+
+def test_treatment_does_not_depend_on_arity(spark):
+    df = spark.range(0, 10000).select((F.col("id") % 5000).cast("string").alias("h"), F.lit(1.0).alias("v"), (F.col("id") % 2).cast("string").alias("c"))
+    fm = T.FeatureBuilder(low_card=["c"], high_card=["h"], numeric=["v"]).fit(df)
+    assert fm.nominal_columns() == ["c", "h"] and fm.check_bins(5000) == 5000
+    attrs = fm.transform(df).schema["features"].metadata["ml_attr"]["attrs"]["nominal"]
+    assert next(a["num_vals"] for a in attrs if a["name"] == "h_index") == 5000
+
+
+def test_error_policy_names_the_value(spark):
+    train = spark.createDataFrame([("a",), ("b",)], "c string")
+    index = T.fit_label_index(train, ["c"])
+    with pytest.raises(Exception, match="unseen or NULL category in c: z"):
+        T.apply_label_index(spark.createDataFrame([("z",)], "c string"), index, ["c"], policy="error").collect()
 
 
-def test_label_index_global_path_equals_window_path(spark):
+def test_label_index_ranks(spark):
     df = spark.range(0, 5000).select((F.col("id") * 31 % 97).cast("string").alias("a"),
                                      (F.col("id") % 13).cast("int").alias("b"))
-    small = T.fit_label_index(df, ["a", "b"])
-    forced = T.fit_label_index(df, ["a", "b"], window_rank_max=1)   # distributed positions
-    a = {(r["column"], r["value"], r["index"]) for r in small.labels.collect()}
-    b = {(r["column"], r["value"], r["index"]) for r in forced.labels.collect()}
-    assert a == b and small.arity == forced.arity == {"a": 97, "b": 13}
+    index = T.fit_label_index(df, ["a", "b"])
+    got = {(r["column"], r["value"], r["index"]) for r in index.labels.collect()}
+    want = set()
+    for c in ("a", "b"):
+        n = Counter(str(r[0]) for r in df.select(c).collect())
+        want |= {(c, v, float(i)) for i, v in enumerate(sorted(n, key=lambda v: (-n[v], v)))}
+    assert got == want and index.arity == {"a": 97, "b": 13}
