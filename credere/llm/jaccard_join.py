@@ -34,12 +34,13 @@ from pyspark.sql import types as T
 from credere.llm.common import arrow_schema, extend, map_rows, mix, ngram_hashes, stage, texts, with_fields, word_hashes
 
 MAX_LIGHT = 26
-HOT_SHARE = 1 << 20
+HOT_SHARE = 1 << 22
 HOT_LEAST = 16
 SENT_IDS = 1 << 20
 SALT_ROWS = 256
 HASH_BYTES = 6
 SHORT_LIST = 1024
+ROUND_PAIRS = 64
 
 
 @dataclass(frozen=True)
@@ -112,7 +113,7 @@ def common_shingles(docs: DataFrame, spec: Spec) -> np.ndarray:
             sets = {set_hash(s): s for s in (shingles(t, spec.n) for t in texts(batch.column("text"))) if len(s)}
             total = sum(map(len, sets.values()))
             h, n = np.unique(np.concatenate([np.empty(0, np.uint64), *sets.values()]), return_counts=True)
-            often = (n * HOT_SHARE > total) & (4 * n >= HOT_LEAST)
+            often = (n * HOT_SHARE > total) & (n > 1)
             yield pa.RecordBatch.from_arrays([pa.array([*h[often].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[often].tolist(), 0], pa.int64()),
                                               pa.array([0] * int(often.sum()) + [total], pa.int64())], schema=out)
 
@@ -120,7 +121,7 @@ def common_shingles(docs: DataFrame, spec: Spec) -> np.ndarray:
     total = sums.where("h is null").select("total").first()
     if not total:
         return np.empty(0, np.uint64)
-    hot = sums.where(F.col("h").isNotNull() & (F.col("n") * HOT_SHARE > total[0]) & (F.col("n") >= HOT_LEAST)).select("h").toArrow()  # 8 MB at most
+    hot = sums.where(F.col("h").isNotNull() & (F.col("n") * HOT_SHARE > total[0]) & (F.col("n") >= HOT_LEAST)).select("h").toArrow()  # 32 MB at most
     return np.sort(hot.column("h").to_numpy().view(np.uint64))
 
 
@@ -430,14 +431,17 @@ def components(links: DataFrame) -> DataFrame:
     pointer jumping, and the links are redrawn between roots until none is left.
     """
     edges = stage(links.select("a", "b").distinct(), "edges")
+    if edges.isEmpty():
+        return edges.select(F.col("a").alias("id"), F.col("b").alias("comp"))
     comps = stage(edges.select(F.explode(F.array("a", "b")).alias("id")).distinct().withColumn("comp", F.col("id")), "components")
     while not edges.isEmpty():
         hooks = stage(edges.groupBy(F.col("b").alias("v")).agg(F.min("a").alias("p")), "hooks")
-        while True:
-            up = hooks.select(F.col("v").alias("p"), F.col("p").alias("pp"))
-            jumped = stage(hooks.join(up, "p", "left").select("v", F.coalesce("pp", "p").alias("p"), F.col("pp").isNotNull().alias("moved")), "hooks")
+        while True:  # two jumps a round: to the hook's hook, and to that one's
+            one, two = (hooks.select(F.col("v").alias(f"v{i}"), F.col("p").alias(f"p{i}")) for i in (1, 2))
+            far = hooks.join(one, hooks["p"] == one["v1"], "left").join(two, F.col("p1") == two["v2"], "left")
+            jumped = stage(far.select("v", F.coalesce("p2", "p1", "p").alias("p"), F.col("p2").isNotNull().alias("more")), "hooks")
             hooks = jumped.select("v", "p")
-            if jumped.where("moved").isEmpty():
+            if jumped.where("more").isEmpty():
                 break
         comps = stage(comps.join(hooks, comps["comp"] == hooks["v"], "left").select("id", F.coalesce("p", "comp").alias("comp")), "components")
         to_a, to_b = (hooks.select(F.col("v").alias(c), F.col("p").alias(f"r{c}")) for c in ("a", "b"))
@@ -446,28 +450,38 @@ def components(links: DataFrame) -> DataFrame:
     return comps
 
 
-def joined(docs: DataFrame, candidates: DataFrame, class_of: DataFrame, links: DataFrame, tested: DataFrame, spec: Spec) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """(links, tested, components) after all candidates are verified or lie within a component.
+def merged(comps: DataFrame, links: DataFrame) -> DataFrame:
+    """``comps`` after more links: the links are drawn between components, and only those are joined."""
+    to_a, to_b = (comps.select(F.col("id").alias(c), F.col("comp").alias(f"c{c}")) for c in ("a", "b"))
+    drawn = links.join(to_a, "a", "left").join(to_b, "b", "left").select(F.coalesce("ca", "a").alias("x"), F.coalesce("cb", "b").alias("y"))
+    new = components(drawn.where("x <> y").select(*_ordered("x", "y")))
+    known = comps.join(new.select(F.col("id").alias("comp"), F.col("comp").alias("to")), "comp", "left").select("id", F.coalesce("to", "comp").alias("comp"))
+    return stage(known.unionByName(new.join(comps.select("id"), "id", "left_anti")), "components")
 
-    A round tests 4 ** round candidates of a larger id at most, the smallest partners first: one
-    true candidate often connects what the others would have connected too.
+
+def joined(docs: DataFrame, candidates: DataFrame, class_of: DataFrame, comps: DataFrame, spec: Spec) -> DataFrame:
+    """(id, comp) after all candidates are verified or lie within a component.
+
+    A round tests ``ROUND_PAIRS`` candidates of a larger id at most, the smallest partners first: in
+    a large group, one true candidate often connects what the others would have connected too.
     """
-    comps, most = components(links), 1
+    done = None
     while True:
-        left = (candidates.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-                .join(comps.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left")
+        left = (candidates.join(comps.select(F.col("id").alias("a"), F.col("comp").alias("ca")), "a", "left")
                 .join(comps.select(F.col("id").alias("b"), F.col("comp").alias("cb")), "b", "left")
                 .where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b"))
-        rank = F.row_number().over(Window.partitionBy("b").orderBy("a"))
-        now = stage(left.withColumn("rank", rank).where(F.col("rank") <= most).select("a", "b"), "candidates")
-        if now.isEmpty():
-            return links, tested, comps
-        got = stage(verify(docs, now, class_of, spec), "tested")
-        tested = stage(tested.unionByName(got), "tested_all")
-        if not got.where("ok").isEmpty():
-            links = tested.where("ok").select("a", "b").unionByName(links.select("a", "b")).distinct()
-            comps = components(links)
-        most *= 4
+        if done is not None:
+            left = left.join(done, ["a", "b"], "left_anti")
+        now = stage(left.withColumn("rank", F.row_number().over(Window.partitionBy("b").orderBy("a"))), "candidates")
+        top = now.agg(F.max("rank")).first()[0] or 0
+        if not top:
+            return comps
+        got = stage(verify(docs, now.where(F.col("rank") <= ROUND_PAIRS).select("a", "b"), class_of, spec), "tested")
+        comps = merged(comps, got.where("ok").select("a", "b"))
+        if top <= ROUND_PAIRS:
+            return comps
+        tested = got.select("a", "b")
+        done = tested if done is None else done.unionByName(tested)
 
 
 def jaccard_components(docs: DataFrame, spec: Spec = Spec(), id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -493,12 +507,11 @@ def jaccard_components(docs: DataFrame, spec: Spec = Spec(), id_col: str = "doc_
     lists = stage(lists.withColumn("p", prefix.cast("int")), "lists")
     links = stage(subset_links(lists, spec), "links")
     texts_of = own.where("id is not null")
-    none = docs.sparkSession.createDataFrame([], TESTED)
     bits = real.select(*key, "parity").join(first, key, "left_semi").dropDuplicates(key).select("id", "parity")
     hubs = stage(likely(hub_pairs(lists, spec, x), bits, spec), "likely")
-    links, tested, comps = joined(texts_of, hubs, class_of, links, none, spec)
+    comps = joined(texts_of, hubs, class_of, components(links), spec)
     rest = stage(likely(cross_pairs(lists, comps, spec, x), bits, spec), "likely")
-    links, tested, comps = joined(texts_of, rest, class_of, links, tested, spec)
+    comps = joined(texts_of, rest, class_of, comps, spec)
     comp = class_of.join(comps.select(F.col("id").alias("rep"), "comp"), "rep", "left").select(F.col("id").alias("__id"), F.coalesce("comp", "rep").alias("comp"))
     out = sets.select("id", "n").join(comp, F.col("id") == F.col("__id"), "left")
     return out.select("id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.coalesce("comp", "id")).otherwise(F.col("id")).alias("component_id"))

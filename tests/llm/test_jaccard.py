@@ -62,6 +62,7 @@ def test_hot_shingles_and_salted_hubs(spark, monkeypatch):
     monkeypatch.setattr(J, "SALT_ROWS", 2)
     monkeypatch.setattr(J, "SHORT_LIST", 3)  # longer lists meet in joins
     monkeypatch.setattr(J, "SENT_IDS", 0)
+    monkeypatch.setattr(J, "ROUND_PAIRS", 1)
     rows = corpus()[:70]
     monkeypatch.setattr(J, "common_shingles", lambda *_: J.np.sort(J.shingles(rows[3][1].encode() if rows[3][1] else b"a b c d e", 4)))
     got = J.jaccard_components(frame(spark, rows))
