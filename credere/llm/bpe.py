@@ -26,7 +26,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from credere.llm.common import extend, map_rows, with_fields
 
 NO_RANK = 1 << 62
-CACHE = 200_000
+CACHE = 100_000
 LONGEST_KEPT = 64
 WIDEST = 64
 BLOCK = 4096

@@ -27,12 +27,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, extend, map_rows, stage, texts, with_fields
+from credere.llm.common import extend, map_rows, stage, texts, with_fields
 
 WINDOW = 10
 BLOCK_WORDS = 1 << 20
 SHARD_WORDS = 1 << 18
 SAMPLE = 8
+BLOCK_BYTES = 8 << 20
 
 # words are runs of [0-9a-z] and non-ASCII after lower-casing A-Z; all other ASCII separates them
 _TO_WORDS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A or b >= 0x80 else 0x20
@@ -173,8 +174,9 @@ class Block:
                    {n: [list(dict.fromkeys(o)) for o in w.values()] for n, w in found.items()})
 
 
-def benchmark_blocks(bench: DataFrame, window: int) -> Iterator[Block]:
-    """The test items in blocks of at most about ``BLOCK_WORDS`` words; only one block is on the driver at a time."""
+def benchmark_blocks(bench: DataFrame, window: int) -> Iterator[tuple[Block, bool]]:
+    """The test items in blocks of at most about ``BLOCK_WORDS`` words, and whether a block is the last;
+    only one block is on the driver at a time."""
     items = bench.select(F.col("item_id").alias("item"), "text").where("text is not null")
     size = F.length("text") + 1  # at least two code points to a word and its separator
     sized = items.withColumn("chars", size)
@@ -183,7 +185,7 @@ def benchmark_blocks(bench: DataFrame, window: int) -> Iterator[Block]:
     for part in range(parts):
         own = items.where(F.pmod(F.xxhash64("item", "text"), F.lit(parts)) == part).distinct()
         rows = sorted(((r["item"], r["text"]) for r in own.toLocalIterator()), key=lambda r: (str(r[0]), r[1]))
-        yield Block.of([(i, t.encode()) for i, t in rows], window)
+        yield Block.of([(i, t.encode()) for i, t in rows], window), part == parts - 1
 
 
 class Shards:
@@ -249,13 +251,14 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
+def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text", cut: bool = False) -> DataFrame:
     """``docs`` with ``n_words``, ``hit_spans`` (merged [start, end) word ranges) and ``hit_items``
     (item ids as strings, sorted), replacing columns of these names.
 
     Null and empty texts have no words; null items and items without words match nothing; an item
     of fewer words than ``window`` is one window. Repeated rows and ids are searched like any other.
-    Items with equal ids are one item. An empty benchmark leaves every document without hits.
+    Items with equal ids are one item. An empty benchmark leaves every document without hits. With
+    ``cut`` the text comes back without its hit words.
     """
     schema = with_fields(docs, ("n_words", T.LongType()), ("hit_spans", SPANS), ("hit_items", T.ArrayType(T.StringType())))
     out_schema = schema
@@ -263,12 +266,12 @@ def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col
     out = docs.select("*", *[F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields if f.name not in docs.columns])
     out = out.select(*[F.lit(None).cast(f.dataType).alias(f.name) if f.name in ("n_words", "hit_spans", "hit_items") else F.col(f"`{f.name}`")
                        for f in schema.fields])
-    for i, block in enumerate(benchmark_blocks(bench, window)):
+    for i, (block, last) in enumerate(benchmark_blocks(bench, window)):
         if i:
             out = stage(out, "leaks")
         shared = sc.broadcast(block)
 
-        def run(batch: pa.RecordBatch, form: pa.Schema, shared=shared) -> pa.RecordBatch:
+        def run(batch: pa.RecordBatch, form: pa.Schema, shared=shared, cuts=cut and last) -> pa.RecordBatch:
             block = shared.value
             raw = texts(batch.column(text_col))
             n_words = []
@@ -288,35 +291,32 @@ def find_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col
                     take(shards.add(doc, words))
             if shards:
                 take(shards.search())
+            spans = [merged(s) for s in spans]
+            changed = {}
+            if cuts:
+                whole = batch.column(text_col).cast(pa.binary()).to_pylist()
+                changed[text_col] = pa.array([without(t, s) if s else t for t, s in zip(whole, spans, strict=True)], pa.binary()).cast(pa.string())
             return extend(batch, form, n_words=n_words, hit_items=[sorted(x) for x in items],
-                          hit_spans=[[{"start": a, "end": b} for a, b in merged(s)] for s in spans])
+                          hit_spans=[[{"start": a, "end": b} for a, b in s] for s in spans], **changed)
 
-        out = map_rows(out, out_schema, run)
+        out = map_rows(out, out_schema, run, text_col, BLOCK_BYTES)
     return out
 
 
+def without(text: bytes, spans: list[tuple[int, int]]) -> bytes:
+    """The text without the words of its spans, each from its first word's start to its last one's end."""
+    at = word_spans(text)
+    keep, done = [], 0
+    for a, b in spans:
+        keep.append(text[done:at[a][0]])
+        done = at[b - 1][1]
+    return b"".join([*keep, text[done:]])
+
+
 def remove_leaks(docs: DataFrame, bench: DataFrame, window: int = WINDOW, text_col: str = "text") -> DataFrame:
     """``docs`` with the hit words cut out of ``text_col``: from the first hit word of a span to the
     end of its last. Texts without hits come back as they are (a null text too)."""
-    found = find_leaks(docs, bench, window, text_col)
-    schema = T.StructType([T.StructField(f.name, f.dataType) for f in docs.schema.fields])
-    form = arrow_schema(schema)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts_in = batch.column(text_col).to_pylist()
-            for i, spans in enumerate(batch.column("hit_spans").to_pylist()):
-                if spans:
-                    raw = texts_in[i].encode()
-                    at = word_spans(raw)
-                    keep, done = [], 0
-                    for s in spans:
-                        keep.append(raw[done:at[s["start"]][0]])
-                        done = at[s["end"] - 1][1]
-                    texts_in[i] = b"".join([*keep, raw[done:]]).decode()
-            yield extend(batch, form, **{text_col: texts_in})
-
-    return found.mapInArrow(run, schema)
+    return find_leaks(docs, bench, window, text_col, cut=True).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def leak_report(docs: DataFrame, bench: DataFrame, window: int = WINDOW) -> DataFrame:

@@ -167,6 +167,9 @@ def secret_spans(docs: DataFrame, text_col: str = "text", classes: Sequence[Char
 def secret_report(docs: DataFrame) -> DataFrame:
     """(doc_id, n_assign, n_access, n_hex, base_sha256, spans, n_added) of every document."""
     found = secret_spans(docs.select("doc_id", "text"))
-    count = [F.size(F.filter("base", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
+    def of_kind(k: int) -> Column:
+        return F.size(F.filter("base", lambda s: s["kind"] == k)).cast("long").alias(f"n_{KINDS[k]}")
+
+    count = [of_kind(k) for k in range(3)]
     return found.select("doc_id", *count, F.sha2(_joined(F.col("base")), 256).alias("base_sha256"),
                         _joined(F.array_sort(F.concat("base", "added"))).alias("spans"), F.size("added").cast("long").alias("n_added"))
