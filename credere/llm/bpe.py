@@ -26,7 +26,7 @@ from tokenizers import Regex, normalizers, pre_tokenizers
 from credere.llm.common import extend, map_rows, with_fields
 
 NO_RANK = 1 << 62
-CACHE = 100_000
+CACHE = 200_000
 LONGEST_KEPT = 64
 WIDEST = 64
 BLOCK = 4096
@@ -88,7 +88,8 @@ class Bpe:
         model = spec["model"]
         self.vocab: dict[str, int] = model["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.token = {i: t for t, i in (self.vocab | self.special).items()}
+        names = {i: t for t, i in (self.vocab | self.special).items()}
+        self.tokens = [names.get(i, "") for i in range(max(names) + 1)]
         merges = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
         self.pairs = {(self.vocab[a], self.vocab[b]): (rank, self.vocab[a + b]) for rank, (a, b) in enumerate(merges)}
         self.merged = np.array([self.vocab[a + b] for a, b in merges], np.int64)
@@ -104,8 +105,8 @@ class Bpe:
         self.normaliser = normalizers.Sequence([normalizers.NFC(), normalizers.Lowercase()])
         self.chunks = regex.compile(f"[^{WHITE}]+")
         self.specials = regex.compile("(" + "|".join(map(regex.escape, sorted(self.special, key=len, reverse=True))) + ")")
-        self.young: dict[str, tuple[bytes, str]] = {}
-        self.old: dict[str, tuple[bytes, str]] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
 
     # ------------------------------------------------ merges
 
@@ -203,9 +204,9 @@ class Bpe:
 
     # ------------------------------------------------ texts
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, ids: bytes) -> str:
         """Tokens joined by a space: the file names no decoder."""
-        return " ".join([self.token[i] for i in ids if i in self.token])
+        return " ".join(map(self.tokens.__getitem__, np.frombuffer(ids, "<u4").tolist()))
 
     def split(self, chunk: str) -> list[str]:
         """The words of a run without white space."""
@@ -213,15 +214,14 @@ class Bpe:
             return self.ascii_words.findall(chunk.lower())
         return [w for w, _ in self.splitter.pre_tokenize_str(self.normaliser.normalize_str(chunk))]
 
-    def learn(self, chunks: list[str]) -> dict[str, tuple[bytes, str]]:
-        """(ids, decoded) of each of the distinct ``chunks``; the short ones are kept for later texts."""
+    def learn(self, chunks: list[str]) -> dict[str, bytes]:
+        """Ids of each of the distinct ``chunks``; the short ones are kept for later texts."""
         split = [self.split(c) for c in chunks]
         words = list({w for ws in split for w in ws})
         ids = dict(zip(words, self.encode_words(words), strict=True))
         out = {}
         for c, ws in zip(chunks, split, strict=True):
-            own = [i for w in ws for i in ids[w]]
-            out[c] = found = (np.array(own, "<u4").tobytes(), self.decode(own))
+            out[c] = found = np.array([i for w in ws for i in ids[w]], "<u4").tobytes()
             if len(c) <= LONGEST_KEPT:
                 self.young[c] = found
         return out
@@ -237,8 +237,8 @@ class Bpe:
                 out += self.chunks.findall(p) if any(c in p for c in SEPARATORS) else p.split()
         return out
 
-    def encode_batch(self, batch: list[str]) -> list[tuple[bytes, str]]:
-        """(ids as little-endian unsigned 32-bit integers, decoded text) of each whole text."""
+    def encode_batch(self, batch: list[str]) -> list[bytes]:
+        """Ids of each whole text as little-endian unsigned 32-bit integers."""
         split = [self.pieces(t) for t in batch]
         if len(self.young) >= CACHE:
             self.old, self.young = self.young, {}
@@ -247,13 +247,9 @@ class Bpe:
         for c in [c for c in missing if c in old]:
             young[c] = old[c]
             missing.discard(c)
-        fresh = {t: (np.array([i], "<u4").tobytes(), t) for t, i in self.special.items()}
+        fresh = {t: np.array([i], "<u4").tobytes() for t, i in self.special.items()}
         fresh |= self.learn([c for c in missing if c not in self.special])
-        out = []
-        for t in split:
-            parts = [young.get(c) or fresh[c] for c in t]
-            out.append((b"".join([p[0] for p in parts]), " ".join([p[1] for p in parts if p[0]])))
-        return out
+        return [b"".join([fresh[c] if (x := young.get(c)) is None else x for c in t]) for t in split]
 
 
 @lru_cache(maxsize=2)
@@ -261,8 +257,9 @@ def load(path: str) -> Bpe:
     return Bpe(path)
 
 
-def _coded(batch: pa.RecordBatch, path: str, text_col: str) -> list[tuple[bytes, str]]:
-    return load(path).encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
+def _coded(batch: pa.RecordBatch, path: str, text_col: str) -> tuple[Bpe, list[bytes]]:
+    bpe = load(path)
+    return bpe, bpe.encode_batch([t or "" for t in batch.column(text_col).to_pylist()])
 
 
 def _sha256(values: Iterable[bytes]) -> list[str]:
@@ -279,8 +276,8 @@ def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFr
     schema = with_fields(docs, ("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded", T.StringType()))
 
     def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        pairs = _coded(batch, path, text_col)
-        return extend(batch, out, ids=[p[0] for p in pairs], n_tokens=[len(p[0]) // 4 for p in pairs], decoded=[p[1] for p in pairs])
+        bpe, ids = _coded(batch, path, text_col)
+        return extend(batch, out, ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded=[bpe.decode(x) for x in ids])
 
     return map_rows(docs, schema, run, text_col)
 
@@ -291,8 +288,8 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
     schema = with_fields(docs, ("ids", T.BinaryType()), ("n_tokens", T.LongType()), ("decoded_sha256", T.StringType()))
 
     def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        pairs = _coded(batch, path, text_col)
-        return extend(batch, out, ids=[p[0] for p in pairs], n_tokens=[len(p[0]) // 4 for p in pairs], decoded_sha256=_sha256(p[1].encode() for p in pairs))
+        bpe, ids = _coded(batch, path, text_col)
+        return extend(batch, out, ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded_sha256=_sha256(bpe.decode(x).encode() for x in ids))
 
     return map_rows(docs, schema, run, text_col)
 
@@ -305,7 +302,7 @@ def bpe_report(docs: DataFrame, path: str) -> DataFrame:
                            T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        pairs = _coded(batch, path, "text")
-        return extend(batch, out, n_tokens=[len(p[0]) // 4 for p in pairs], ids_sha256=_sha256(p[0] for p in pairs), decoded_sha256=_sha256(p[1].encode() for p in pairs))
+        bpe, ids = _coded(batch, path, "text")
+        return extend(batch, out, n_tokens=[len(x) // 4 for x in ids], ids_sha256=_sha256(ids), decoded_sha256=_sha256(bpe.decode(x).encode() for x in ids))
 
     return map_rows(docs, schema, run, "text")

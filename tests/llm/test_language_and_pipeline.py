@@ -64,10 +64,10 @@ def test_documents_keep_columns_rows_and_order_of_columns(spark):
     df = frame(spark, rows, ("host", "row", "declared", "ll"))
     kept = L.keep_identified(df)
     assert kept.columns == df.columns
-    # rows go that have no letters; a text of words in a known language never does
+    # rows go that have no letters or a few that no language explains; a text of some length in a known language never does
     texts = [r.text for r in kept.collect()]
     gone = [t for _, t, *_ in rows if t not in texts]
-    assert all(not t or not any(s in t.lower() for s in SYLLABLES) for t in gone) and sum(t == "the and thing" for t in texts) == 2
+    assert all(not t or len(t.split()) < 20 or not any(s in t.lower() for s in SYLLABLES) for t in gone) and sum(t == "the and thing" for t in texts) == 2
     assert L.keep_identified(frame(spark, [])).collect() == []
     assert L.keep_identified(frame(spark, [(1, "text", None, None, 4)])).collect() == []  # no label, no language
 
