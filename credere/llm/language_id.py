@@ -9,8 +9,10 @@ towards the whole table. All tables are grouped aggregations over the whole inpu
 A text that even the best language explains no better than uniform trigrams, or that has no
 letters, is rejected. So is nothing else: a wrong declaration or a rare host is evidence, not a verdict.
 
-* The trigram model is bounded (``BUCKETS`` x languages) and counted per task before it is shuffled.
-* Languages are labels with at least 1/1000 of the labelled rows, so there are at most 1,000.
+* Every label is a language, however rare. Trigrams are counted per task before they are shuffled;
+  the model is kept and scored in blocks of ``LANG_BLOCK`` languages, of which a task holds one.
+* A row carries a likelihood for each language, and ``CELLS`` bounds rows x languages in a Python batch.
+  Priors and declarations are kept as the counts that occur, not as tables of all languages.
 * Hosts with more than 1/4096 of the rows (fewer than 4,096 at any size) meet their prior by a
   broadcast, all others by a shuffle join of narrow rows.
 """
@@ -23,14 +25,17 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, extend, map_rows, stage, texts, with_fields
+from credere.llm.common import arrow_schema, extend, map_rows, ship_package, stage, texts, with_fields
 
 BUCKETS = 1 << 15
-LANG_SHARE = 1000
+LANG_BLOCK = 8         # languages scored at a time
+PENDING = 1 << 20      # trigram counts kept in a task before they are merged
+CELLS = 1 << 20        # rows x languages in a batch
 HOT_SHARE = 4096
 SMOOTH = 0.5           # trigram pseudo-count
 STRENGTH = 5.0         # rows that a parent level's prior counts as
@@ -74,92 +79,142 @@ def trigram_blocks(cleaned: list[bytes]) -> Iterator[tuple[slice, np.ndarray, np
 @dataclass
 class TextModel:
     langs: list[str]
-    log_p: np.ndarray  # (BUCKETS, languages)
+    blocks: list[Broadcast]  # log probabilities (BUCKETS, languages) of LANG_BLOCK languages each
 
     def score(self, cleaned: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """(log likelihoods over uniform trigrams, trigrams) of each text."""
         out, n = np.zeros((len(cleaned), len(self.langs))), np.zeros(len(cleaned), np.int64)
-        over = (self.log_p + np.log(BUCKETS)).astype(np.float64)
-        for rows, buckets, starts, ends in trigram_blocks(cleaned):
-            sums = np.concatenate([np.zeros((1, len(self.langs))), np.cumsum(over[buckets], axis=0)])
-            out[rows] = sums[ends] - sums[starts]
-            n[rows] = ends - starts
+        for i, block in enumerate(self.blocks):
+            over = block.value + np.log(BUCKETS)
+            cols = slice(i * LANG_BLOCK, i * LANG_BLOCK + over.shape[1])
+            for rows, buckets, starts, ends in trigram_blocks(cleaned):
+                sums = np.concatenate([np.zeros((1, over.shape[1])), np.cumsum(over[buckets], axis=0)])
+                out[rows, cols] = sums[ends] - sums[starts]
+                n[rows] = ends - starts
+            if len(self.blocks) > 1:
+                block.__dict__.pop("_value", None)  # read again when it is needed: one block at a time
         return out, n
 
 
 def languages(labelled: DataFrame) -> list[str]:
-    """Labels with at least 1/LANG_SHARE of the labelled rows."""
-    counts = labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "")).groupBy("lang").agg(F.count("*").alias("n"))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    return sorted(r["lang"] for r in counts.where(F.col("n") * LANG_SHARE >= total).collect())
+    """All labels."""
+    return sorted(r["lang"] for r in labelled.where(F.col("lang").isNotNull() & (F.col("lang") != "")).select("lang").distinct().collect())
+
+
+def _merged(pending: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    code, at = np.unique(np.concatenate([c for c, _ in pending]), return_inverse=True)
+    n = np.zeros(len(code), np.int64)
+    np.add.at(n, at, np.concatenate([x for _, x in pending]))
+    return code, n
 
 
 def fit_text_model(labelled: DataFrame, html: bool = False) -> TextModel:
     """Trigram model over all rows of (lang, text)."""
+    ship_package(labelled.sparkSession)
     langs = languages(labelled)
     place = {name: i for i, name in enumerate(langs)}
     schema = T.StructType([T.StructField(c, T.LongType()) for c in ("lang", "bucket", "n")])
     out = arrow_schema(schema)
 
+    def told(code: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(code // BUCKETS), pa.array(code % BUCKETS), pa.array(n)], schema=out)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(langs), BUCKETS), np.int64)
+        pending, size = [], 0
         for batch in batches:
-            label = [place.get(x, -1) for x in batch.column("lang").to_pylist()]
+            label = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
             cleaned = [letters(visible(t) if html else t) if k >= 0 else b"" for k, t in zip(label, texts(batch.column("text")), strict=True)]
             for rows, buckets, starts, ends in trigram_blocks(cleaned):
-                size = ends - starts
-                each = np.repeat(np.arange(len(size)), size)
-                at = np.arange(len(each)) - np.repeat(np.cumsum(size) - size, size) + np.repeat(starts, size)
-                own = np.array(label[rows], np.int64)[each]
-                total += np.bincount(np.maximum(own, 0) * BUCKETS + buckets[at], minlength=len(langs) * BUCKETS)[:total.size].reshape(total.shape) if len(each) else 0
-        lang, bucket = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(lang), pa.array(bucket), pa.array(total[lang, bucket])], schema=out)
-
-    total = np.full((BUCKETS, max(1, len(langs))), SMOOTH)
+                own = label[rows]
+                present = np.unique(own[own >= 0])
+                for part in (present[i:i + LANG_BLOCK] for i in range(0, len(present), LANG_BLOCK)):
+                    pick = np.flatnonzero(np.isin(own, part))
+                    length = (ends - starts)[pick]
+                    each = np.repeat(np.arange(len(pick)), length)
+                    at = np.arange(len(each)) + np.repeat(starts[pick] - np.cumsum(length) + length, length)
+                    count = np.bincount(np.searchsorted(part, own[pick])[each] * BUCKETS + buckets[at], minlength=len(part) * BUCKETS)
+                    seen = np.flatnonzero(count)
+                    pending.append((part[seen // BUCKETS] * BUCKETS + seen % BUCKETS, count[seen].astype(np.int64)))
+                    size += len(seen)
+                    if size > PENDING:
+                        pending = [_merged(pending)]
+                        size = len(pending[0][0])
+                        if size > PENDING // 2:
+                            yield told(*pending[0])
+                            pending, size = [], 0
+        if pending:
+            yield told(*_merged(pending))
+
+    blocks = []
     if langs:
-        for r in labelled.select("lang", "text").mapInArrow(run, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toLocalIterator():
-            total[r["bucket"], r["lang"]] += r["n"]  # at most BUCKETS rows a language
-    return TextModel(langs, np.log(total / total.sum(axis=0)) if langs else np.zeros((BUCKETS, 0)))
+        counts = labelled.select("lang", "text").mapInArrow(run, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+        counts = stage(counts.repartitionByRange("lang").sortWithinPartitions("lang"), "trigrams")
+        for first in range(0, len(langs), LANG_BLOCK):
+            width = min(LANG_BLOCK, len(langs) - first)
+            total = np.full((BUCKETS, width), SMOOTH)
+            lang, bucket, n = (c.to_numpy() for c in counts.where(F.col("lang").between(first, first + width - 1)).toArrow().columns)
+            total[bucket, lang - first] += n  # at most BUCKETS rows a language, each once
+            blocks.append(labelled.sparkSession.sparkContext.broadcast(np.log(total / total.sum(axis=0))))
+    return TextModel(langs, blocks)
 
 
 # ---------------------------------------------------------------- priors
 
-def _counts(col: str, langs: list[str]) -> list[Column]:
-    return [F.sum(F.when(F.col(col) == i, 1).otherwise(0)).alias(f"n{i}") for i in range(len(langs))]
+def host_priors(seen: DataFrame, k: int) -> tuple[DataFrame, np.ndarray]:
+    """((host, rows, prior) of (host, domain, suffix, guess), p(language) in the whole table).
 
+    ``prior`` holds the counts by language of the host's suffix, domain and own rows, for ``prior_of``.
+    """
+    host = stage(seen.where(F.col("guess") >= 0).groupBy("host", "domain", "suffix", "guess").agg(F.count("*").alias("n")), "hosts")
+    entries = F.collect_list(F.struct("guess", "n"))  # at most one a language
+    domain = host.groupBy("domain", "suffix", "guess").agg(F.sum("n").alias("n"))
+    suffix = domain.groupBy("suffix", "guess").agg(F.sum("n").alias("n"))
+    whole = np.zeros(k)
+    for r in suffix.groupBy("guess").agg(F.sum("n").alias("n")).collect():
+        whole[r["guess"]] = r["n"]
+    by_suffix = suffix.groupBy(F.col("suffix").alias("s")).agg(entries.alias("of_suffix"))
+    by_domain = (domain.groupBy(F.col("domain").alias("d"), "suffix").agg(entries.alias("of_domain"))
+                 .join(by_suffix, F.col("suffix") == F.col("s")).select("d", "of_domain", "of_suffix"))
+    by_host = host.groupBy(F.col("host").alias("h"), "domain").agg(F.sum("n").alias("rows"), entries.alias("of_host"))
+    priors = by_host.join(by_domain, F.col("domain") == F.col("d")).select("h", "rows", F.struct("of_suffix", "of_domain", "of_host").alias("prior"))
+    return priors, (whole + 1.0) / (whole.sum() + k)
+
+
+def prior_of(counts: dict | None, whole: np.ndarray) -> np.ndarray:
+    """p(language | host) from the counts of its levels, each drawn towards the one above; uniform for an unseen host."""
+    if counts is None:
+        return np.full(len(whole), 1.0 / len(whole))
+    p = whole
+    for level in ("of_suffix", "of_domain", "of_host"):
+        own = np.zeros(len(whole))
+        for e in counts[level]:
+            own[e["guess"]] = e["n"]
+        p = (own + STRENGTH * p) / (own.sum() + STRENGTH)
+    return p
 
-def _towards(own: list[Column], parent: list[Column]) -> Column:
-    total = own[0]
-    for c in own[1:]:
-        total = total + c
-    return F.array(*[(c + STRENGTH * p) / (total + STRENGTH) for c, p in zip(own, parent, strict=True)])
 
+@dataclass
+class Evidence:
+    """p(value | language) of a column of language numbers (-1: none or another value)."""
+    total: np.ndarray                                # rows by language
+    by_value: dict[int, tuple[np.ndarray, np.ndarray]]  # languages and rows with a value
 
-def host_priors(seen: DataFrame, langs: list[str]) -> DataFrame:
-    """(host, rows, prior) of (host, domain, suffix, guess): p(language | host) by levels."""
-    k = len(langs)
-    ns = [f"n{i}" for i in range(k)]
-    host = seen.where(F.col("guess") >= 0).groupBy("host", "domain", "suffix").agg(F.count("*").alias("rows"), *_counts("guess", langs))
-    host = stage(host, "hosts")
-    domain = host.groupBy("domain", "suffix").agg(*[F.sum(c).alias(c) for c in ns])
-    suffix = domain.groupBy("suffix").agg(*[F.sum(c).alias(c) for c in ns])
-    whole = suffix.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in ns]).first()
-    total = sum(whole)
-    flat = [F.lit((whole[i] + 1.0) / (total + k)) for i in range(k)]
-    p_suffix = suffix.select(F.col("suffix").alias("s"), _towards([F.col(c) for c in ns], flat).alias("ps"))
-    p_domain = (domain.join(p_suffix, F.col("suffix") == F.col("s"))
-                .select(F.col("domain").alias("d"), _towards([F.col(c) for c in ns], [F.col("ps")[i] for i in range(k)]).alias("pd")))
-    return (host.join(p_domain, F.col("domain") == F.col("d"))
-            .select(F.col("host").alias("h"), "rows", _towards([F.col(c) for c in ns], [F.col("pd")[i] for i in range(k)]).alias("prior")))
-
-
-def evidence_table(seen: DataFrame, column: str, langs: list[str]) -> dict[int, list[float]]:
-    """log p(value | language) of a column of language numbers (-1: none or another value)."""
-    counts = np.full((len(langs), len(langs) + 1), DECLARED_SMOOTH)
-    for r in seen.where(F.col("guess") >= 0).groupBy("guess", column).agg(F.count("*").alias("n")).collect():  # languages squared
-        counts[r["guess"], r[column]] += r["n"]
-    table = np.log(counts / counts.sum(axis=1, keepdims=True))
-    return {v: table[:, v].tolist() for v in range(-1, len(langs))}
+    def log_p(self, value: int) -> np.ndarray:
+        k = len(self.total)
+        own = np.full(k, DECLARED_SMOOTH)
+        if value in self.by_value:
+            lang, n = self.by_value[value]
+            own[lang] += n
+        return np.log(own / (self.total + DECLARED_SMOOTH * (k + 1)))
+
+
+def evidence_table(seen: DataFrame, column: str, k: int) -> Evidence:
+    total, pairs = np.zeros(k), {}
+    for r in seen.where(F.col("guess") >= 0).groupBy("guess", column).agg(F.count("*").alias("n")).collect():  # the pairs that occur
+        total[r["guess"]] += r["n"]
+        if r[column] >= 0:
+            pairs.setdefault(r[column], []).append((r["guess"], r["n"]))
+    return Evidence(total, {v: (np.array([g for g, _ in p]), np.array([n for _, n in p], float)) for v, p in pairs.items()})
 
 
 # ---------------------------------------------------------------- the operator
@@ -188,25 +243,26 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
     langs = model.langs
     k = len(langs)
     sc = rows.sparkSession.sparkContext
-    shared = sc.broadcast(model)
     if not k:
         return rows.drop("text").select("*", *[F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("posterior", "double"), ("text_lang", "string"))],
                                         F.lit(True).alias("rejected"))
     schema = with_fields(rows.drop("text"), ("declared", T.IntegerType()), ("path", T.IntegerType()), ("guess", T.IntegerType()), ("ll", T.ArrayType(T.DoubleType())))
 
+    place = {name: i for i, name in enumerate(langs)}
+
     def score(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        model = shared.value
-        place = {name: i for i, name in enumerate(model.langs)}
         raw = texts(batch.column("text"))
         ll, n = model.score([letters(visible(t) if html else t) for t in raw])
         guess = np.where((n > 0) & (ll.max(axis=1) > 0), ll.argmax(axis=1), -1)
         code = {c: [place.get(x, -1) for x in batch.column(c).to_pylist()] for c in ("declared", "path")}
-        return extend(batch.drop_columns(["text"]), out, guess=guess.tolist(), ll=pa.array(ll.tolist(), pa.list_(pa.float64())), **code)
+        return extend(batch.drop_columns(["text"]), out, guess=guess.tolist(), **code,
+                      ll=pa.ListArray.from_arrays(pa.array(np.arange(len(ll) + 1) * k, pa.int32()), pa.array(ll.ravel())).cast(out.field("ll").type))
 
     filled = rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in ("host", "domain", "suffix") else F.col(f"`{c}`") for c in rows.columns])
-    seen = stage(map_rows(filled, schema, score), "language_evidence")
-    priors = stage(host_priors(seen, langs), "host_priors")
-    tables = sc.broadcast({c: evidence_table(seen, c, langs) for c in ("declared", "path")})
+    seen = stage(map_rows(filled, schema, score, rows=max(1, CELLS // k)), "language_evidence")
+    priors, whole = host_priors(seen, k)
+    priors = stage(priors, "host_priors")
+    tables = sc.broadcast({c: evidence_table(seen, c, k) for c in ("declared", "path")})
     total = priors.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     hot = priors.where(F.col("rows") * HOT_SHARE > total).select("h", "prior")  # fewer than HOT_SHARE hosts
     marked = seen.join(F.broadcast(hot.withColumnRenamed("prior", "hot_prior")), seen["host"] == F.col("h"), "left").drop("h")
@@ -218,13 +274,15 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
                          ("text_lang", T.StringType()), ("rejected", T.BooleanType()))
 
     def fuse(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
-        names = shared.value.langs
-        ll = np.array(batch.column("ll").to_pylist()).reshape(batch.num_rows, k)
+        names = langs
+        ll = batch.column("ll").flatten().to_numpy().reshape(batch.num_rows, k)
         guess = batch.column("guess").to_numpy()
-        total = EVIDENCE * ll + np.log(np.array([p or [1.0 / k] * k for p in batch.column("prior").to_pylist()]).reshape(batch.num_rows, k))
+        _, first, at = np.unique(batch.column("host").dictionary_encode().indices.to_numpy(), return_index=True, return_inverse=True)
+        total = EVIDENCE * ll + np.log(np.array([prior_of(p, whole) for p in batch.column("prior").take(pa.array(first)).to_pylist()]))[at]
         code = {c: batch.column(c).to_pylist() for c in ("declared", "path")}
         for c, values in code.items():
-            total += np.array([tables.value[c][v] if v >= 0 else [0.0] * k for v in values]).reshape(batch.num_rows, k)
+            log_p = {v: tables.value[c].log_p(v) for v in set(values) if v >= 0} | {-1: np.zeros(k)}
+            total += np.array([log_p[v] for v in values])
         total -= total.max(axis=1, keepdims=True)
         post = np.exp(total) / np.exp(total).sum(axis=1, keepdims=True)
         best, ok = post.argmax(axis=1), guess >= 0
@@ -233,7 +291,7 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
                       posterior=[float(p[b]) if o else None for p, b, o in zip(post, best, ok.tolist(), strict=True)],
                       **{c: [names[v] if v >= 0 else None for v in values] for c, values in code.items()})
 
-    return map_rows(both, schema, fuse)
+    return map_rows(both, schema, fuse, rows=max(1, CELLS // k))
 
 
 def identify_pages(pages: DataFrame, documents: DataFrame) -> DataFrame:

@@ -72,6 +72,22 @@ def test_documents_keep_columns_rows_and_order_of_columns(spark):
     assert L.keep_identified(frame(spark, [(1, "text", None, None, 4)])).collect() == []  # no label, no language
 
 
+def test_every_label_is_a_language_however_rare(spark):
+    rng = random.Random(3)
+    common = [(i, " ".join(rng.choices(["kala", "mika", "tola"], k=8)), "aa", "s", 1) for i in range(1500)]
+    rare = [(9000 + i, " ".join("".join(rng.choices([chr(0x400 + 20 * i + j) for j in range(6)], k=4)) for _ in range(60)), f"r{i:02}", "s", 1) for i in range(2 * L.LANG_BLOCK + 3)]
+    docs = frame(spark, common + rare)
+    model = L.fit_text_model(docs.select("lang", "text"))
+    assert model.langs == ["aa"] + [r[2] for r in rare] and len(model.blocks) == 3
+    counts = np.full((L.BUCKETS, len(model.langs)), L.SMOOTH)
+    for _, t, lang, *_ in common + rare:
+        for _, buckets, a, b in L.trigram_blocks([L.letters(t.encode())]):
+            np.add.at(counts[:, model.langs.index(lang)], buckets[a[0]:b[0]], 1)
+    assert np.allclose(np.concatenate([b.value for b in model.blocks], axis=1), np.log(counts / counts.sum(axis=0)))
+    kept = {r.doc_id: r.lang for r in L.keep_identified(docs).collect()}
+    assert kept == {r[0]: r[2] for r in common + rare}
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     step = docs
