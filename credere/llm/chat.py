@@ -4,9 +4,11 @@ Method: multi-party perspective rotation. For every participant the dialogue is
 speaker as the assistant and all others as named users; the loss mask covers what the assistant
 says, its end tag included. System turns are context in every rendering and take no perspective.
 
-A dialogue is rendered in parts of ``PART_TURNS`` turn numbers, so that a dialogue of any length is
-never gathered into one row or task: parts are grouped and rendered on their own, and only their
-lengths are summed along the dialogue. Only DataFrame functions run here.
+A dialogue is rendered in parts of ``PART_TURNS`` turn numbers, cut again after each ``PART_TURNS``
+turns where numbers repeat or are missing, so that a dialogue of any length is never gathered into
+one row or task. Positions come from one range-partitioned sort of all turns, written once; a part
+spanning two of its partitions is counted through their sizes. Parts are grouped and rendered on
+their own, and only their lengths are summed along the dialogue. Only DataFrame functions run here.
 """
 
 from __future__ import annotations
@@ -14,10 +16,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from credere.functions.ranking import _tag_partitions
+from credere.llm.common import stage
+
 PART_TURNS = 64
-UNTIMED_PARTS = 1024
 OPEN, CLOSE = "<|im_start|>", "<|im_end|>\n"
 SYSTEM, UNKNOWN = "system", "unknown"
+UNTIMED = 1 << 60  # the block of turns without a number: after all others
 
 
 def _segments(turns: Column, speaker: Column) -> Column:
@@ -30,6 +35,18 @@ def _segments(turns: Column, speaker: Column) -> Column:
     return F.transform(turns, one)
 
 
+def _placed(said: DataFrame) -> DataFrame:
+    """Turns by ``conv`` (conv_id as a struct, so never null), ``block`` (of turn numbers) and ``cut`` (of positions in the block), with the text's length."""
+    block = F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(UNTIMED))
+    order = [F.col("conv"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text")]
+    at = stage(_tag_partitions(said.select(F.struct("conv_id").alias("conv"), block.alias("block"), "turn", "role", "text", F.length("text").alias("chars")).orderBy(*order)), "turns")
+    here = at.groupBy("conv", "block", "_pid").agg(F.count("*").alias("n"), F.min("_mid").alias("first"))  # a block is one run of each partition
+    before = Window.partitionBy("conv", "block").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition at most
+    here = here.select("conv", "block", "_pid", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
+    cut = F.floor((F.col("skip") + F.col("_mid") - F.col("first")) / PART_TURNS)
+    return at.join(here, ["conv", "block", "_pid"]).select("conv", "block", cut.alias("cut"), "turn", "role", "text", "chars")
+
+
 def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
            text_col: str = "text") -> DataFrame:
     """(conv_id, speaker, part, n_turns, start, text, mask): a row for each participant and part of a dialogue.
@@ -37,26 +54,31 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     ``start`` is where the part's text begins in the whole rendering; ``mask`` lists the trained
     ranges as ``start:end`` in code points of the whole rendering, comma-joined, end exclusive.
     Turns go by number, then role, then text; rows repeated in all four columns are one turn. A null
-    text is empty, a null or empty role is ``unknown``; turns without a number come last, by a hash
-    of role and text. A null conv_id is a dialogue of its own. A dialogue of system turns alone has
+    text is empty, a null or empty role is ``unknown``; turns without a number come last. A null conv_id is a dialogue of its own. A dialogue of system turns alone has
     no participants and so no row; an empty table gives an empty result. Other columns are ignored.
     """
     named = F.when(F.coalesce(F.col(role_col), F.lit("")) == "", F.lit(UNKNOWN)).otherwise(F.col(role_col))
     said = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), named.alias("role"),
                         F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
-    late = F.when(F.col("turn").isNull(), F.pmod(F.xxhash64("role", "text"), F.lit(UNTIMED_PARTS))).otherwise(F.lit(0).cast("long"))
-    said = said.withColumn("block", F.floor(F.col("turn") / PART_TURNS)).withColumn("late", late)
-    parts = said.groupBy("conv_id", "block", "late").agg(
-        F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
-    speakers = said.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("__conv"), F.col("role").alias("speaker")).distinct()
-    each = parts.join(speakers, parts["conv_id"].eqNullSafe(speakers["__conv"])).drop("__conv")
-    rendered = (each.withColumn("seg", _segments(F.col("turns"), F.col("speaker")))
-                .select("conv_id", "speaker", "block", "late", F.size("turns").cast("long").alias("n_turns"),
+    placed = _placed(said)
+    speakers = turns.select(F.struct(F.col(conv_col).alias("conv_id")).alias("conv"), named.alias("speaker")).where(F.col("speaker") != SYSTEM).distinct()
+    # a turn in another's view; in the speaker's own its tag is "assistant"
+    other = F.when(F.col("role") == SYSTEM, F.lit(len(SYSTEM))).otherwise(F.length("role") + len("user name="))
+    sizes = placed.groupBy("conv", "block", "cut").agg(
+        F.count("*").alias("n_turns"), F.sum(other + F.col("chars") + len(OPEN) + 1 + len(CLOSE)).alias("size"), F.collect_list("role").alias("roles"))
+    own = F.size(F.filter("roles", lambda r: r == F.col("speaker")))
+    views = sizes.join(speakers, "conv").select(
+        "conv", "speaker", "block", "cut", "n_turns",
+        (F.col("size") + own * (len("assistant") - len("user name=") - F.length("speaker"))).alias("size"))
+    along = Window.partitionBy("conv", "speaker").orderBy("block", "cut")
+    before = F.coalesce(F.sum("size").over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
+    views = views.withColumn("start", before).withColumn("part", F.row_number().over(along).cast("long") - 1)
+    parts = placed.groupBy("conv", "block", "cut").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
+    rendered = (parts.join(views, ["conv", "block", "cut"])
+                .select("conv.conv_id", "speaker", "part", "n_turns", "start", _segments(F.col("turns"), F.col("speaker")).alias("seg"))
+                .select("conv_id", "speaker", "part", "n_turns", "start",
                         F.array_join(F.transform("seg", lambda s: F.concat(s["head"], s["body"])), "").alias("text"),
                         F.transform("seg", lambda s: F.struct(F.length(s["head"]).alias("head"), F.length(s["body"]).alias("body"), s["own"].alias("own"))).alias("lens")))
-    along = Window.partitionBy("conv_id", "speaker").orderBy(F.col("block").asc_nulls_last(), "late")
-    before = F.coalesce(F.sum(F.length("text")).over(along.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long"))
-    placed = rendered.withColumn("start", before).withColumn("part", F.row_number().over(along).cast("long") - 1)
     state = F.struct(F.col("start").alias("at"), F.array().cast("array<string>").alias("out"))
 
     def step(s: Column, x: Column) -> Column:
@@ -67,4 +89,4 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     # the newline after the end tag is layout, not speech: hence b - 1
     mask = F.aggregate("lens", state, step, lambda s: F.array_join(s["out"], ","))
-    return placed.select("conv_id", "speaker", "part", "n_turns", "start", "text", mask.alias("mask"))
+    return rendered.select("conv_id", "speaker", "part", "n_turns", "start", "text", mask.alias("mask"))

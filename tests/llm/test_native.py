@@ -73,6 +73,20 @@ def test_turns_without_number_come_last_and_nothing_is_lost(spark):
     assert chat.rotate(spark.createDataFrame([], CONV)).collect() == []
 
 
+def test_repeated_turn_numbers_are_cut_by_position(spark):
+    rows = [(1, 3, "ab"[i % 2], f"tie {i}") for i in range(500)] + [(1, t, "system", f"note {t}") for t in (-70, 2, 3, 4, 64, 200)]
+    rows += [(None, t, f"u{t % 3}", f"{t} {i}") for t in range(5) for i in range(60)] + [(2, 0, "a", "alone"), (3, 70, "c", "late start")]
+    got = chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], CONV).repartition(5))
+    no_python(got)
+    assert whole(got) == render(rows)
+    parts = got.collect()
+    assert max(r.n_turns for r in parts) <= chat.PART_TURNS
+    untimed = [(1, None, "ab"[i % 2], f"tie {i}") for i in range(500)]
+    got = chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in untimed], CONV).repartition(5))
+    assert sorted(r.n_turns for r in got.where("speaker = 'a'").collect()) == sorted([64] * 7 + [52])
+    assert whole(got) == {k: v for k, v in render([(c, 0, r, x) for c, _, r, x in untimed]).items()}
+
+
 # ---------------------------------------------------------------- secrets
 
 ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)
