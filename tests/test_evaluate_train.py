@@ -1,6 +1,7 @@
 """Metrics, AUC, trainers, tracking and scoring."""
 
 import math
+from functools import partial
 
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
@@ -168,3 +169,18 @@ def test_auc_with_ties_equals_the_evaluator(spark):
     df = spark.range(0, 3000).select((F.rand(5) > 0.5).cast("int").alias("label"), F.round(F.rand(6) * 50).alias("score"))
     raw = BinaryClassificationEvaluator(labelCol="label", rawPredictionCol="score", numBins=0)
     assert math.isclose(E.auc_exact(df).first().areaUnderROC, raw.evaluate(df), rel_tol=1e-12)
+
+
+def test_tuning_query_runs_the_whole_grid_with_all_trees(spark, monkeypatch):
+    from credere.plans import catalog, catalog_models
+    asked = []
+
+    def tune(est, grid, train, **kw):
+        asked.append((est.getMaxIter(), len(grid), {(m[est.maxDepth], m[est.maxBins], m[est.stepSize]) for m in grid}))
+        raise StopIteration
+
+    monkeypatch.setattr(catalog_models.M, "tune", tune)
+    for query in (catalog.queries()["tune_gbt"], partial(catalog_models.q_tune_gbt, max_iter=1)):
+        with pytest.raises(StopIteration):
+            query(spark, "/root/testdata/sf0.001")
+    assert [a[:2] for a in asked] == [(20, 27), (1, 27)] and len(asked[0][2]) == 27
