@@ -6,8 +6,9 @@ counted over all labelled documents. To it are added the log likelihood of the d
 of the host, smoothed hierarchically: host towards domain, domain towards address suffix, suffix
 towards the whole table. All tables are grouped aggregations over the whole input; none is sampled.
 
-A text that even the best language explains no better than uniform trigrams, or that has no
-letters, is rejected. So is nothing else: a wrong declaration or a rare host is evidence, not a verdict.
+A text without letters is rejected. So is one that even the best language explains no better than
+uniform trigrams, unless what is declared and the host outweigh that: a short text of rare words, names
+or code keeps its correct label. A wrong declaration or a rare host is evidence, not a verdict.
 
 * Every label is a language, however rare. Trigrams are counted per task before they are shuffled;
   the model is kept and scored in blocks of ``LANG_BLOCK`` languages, of which a task holds one.
@@ -41,6 +42,7 @@ SMOOTH = 0.5           # trigram pseudo-count
 STRENGTH = 5.0         # rows that a parent level's prior counts as
 DECLARED_SMOOTH = 1.0
 EVIDENCE = 1.0 / 3.0   # trigrams overlap: each letter is in three
+UNKNOWN = 1e-3         # prior share of texts in no known language among those that declare one
 BLOCK_BYTES = 1 << 20
 
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
@@ -253,7 +255,7 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
     def score(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:
         raw = texts(batch.column("text"))
         ll, n = model.score([letters(visible(t) if html else t) for t in raw])
-        guess = np.where((n > 0) & (ll.max(axis=1) > 0), ll.argmax(axis=1), -1)
+        guess = np.where(n == 0, -2, np.where(ll.max(axis=1) > 0, ll.argmax(axis=1), -1))  # -2: no letters, -1: no language by the text
         code = {c: [place.get(x, -1) for x in batch.column(c).to_pylist()] for c in ("declared", "path")}
         return extend(batch.drop_columns(["text"]), out, guess=guess.tolist(), **code,
                       ll=pa.ListArray.from_arrays(pa.array(np.arange(len(ll) + 1) * k, pa.int32()), pa.array(ll.ravel())).cast(out.field("ll").type))
@@ -280,12 +282,17 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
         _, first, at = np.unique(batch.column("host").dictionary_encode().indices.to_numpy(), return_index=True, return_inverse=True)
         total = EVIDENCE * ll + np.log(np.array([prior_of(p, whole) for p in batch.column("prior").take(pa.array(first)).to_pylist()]))[at]
         code = {c: batch.column(c).to_pylist() for c in ("declared", "path")}
+        # over no language: uniform trigrams, declarations and hosts
+        over = total + np.log(k)
+        over += np.where(np.max([np.array(v) for v in code.values()], axis=0) >= 0, np.log((1 - UNKNOWN) / UNKNOWN), 0.0)[:, None]
         for c, values in code.items():
             log_p = {v: tables.value[c].log_p(v) for v in set(values) if v >= 0} | {-1: np.zeros(k)}
-            total += np.array([log_p[v] for v in values])
+            own = np.array([log_p[v] for v in values])
+            total += own
+            over += own + np.where(np.array(values) >= 0, np.log(k + 1), 0.0)[:, None]
         total -= total.max(axis=1, keepdims=True)
         post = np.exp(total) / np.exp(total).sum(axis=1, keepdims=True)
-        best, ok = post.argmax(axis=1), guess >= 0
+        best, ok = post.argmax(axis=1), (guess >= 0) | ((guess == -1) & (over.max(axis=1) > 0))
         return extend(batch, out, rejected=(~ok).tolist(), text_lang=[names[g] if g >= 0 else None for g in guess.tolist()],
                       lang=[names[b] if o else None for b, o in zip(best.tolist(), ok.tolist(), strict=True)],
                       posterior=[float(p[b]) if o else None for p, b, o in zip(post, best, ok.tolist(), strict=True)],
@@ -310,6 +317,6 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     model = fit_text_model(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     host = F.col(host_col).cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
-                       F.lower(F.col(lang_col)).alias("declared"), host.alias("host"), host.alias("domain"), F.lit("").alias("suffix"), F.lit(None).cast("string").alias("path"))
+                       F.col(lang_col).alias("declared"), host.alias("host"), host.alias("domain"), F.lit("").alias("suffix"), F.lit(None).cast("string").alias("path"))
     found = identify(rows, model).where("not rejected")
     return found.select(*[F.col("lang").alias(c) if c == lang_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])

@@ -88,6 +88,19 @@ def test_every_label_is_a_language_however_rare(spark):
     assert kept == {r[0]: r[2] for r in common + rare}
 
 
+def test_short_labelled_clean_texts_stay(spark):
+    rng = random.Random(4)
+    words = {"aa": ["kala", "mika", "tola"], "BB": ["xuvu", "zuxu", "vuzu"]}
+    plain = [(i, " ".join(rng.choices(words[k], k=14)), k, "s", 1) for i, k in enumerate(["aa", "BB"] * 1000)]
+    noise = "".join(rng.choices("bcdfghjnpqrswy", k=900))
+    short = [(5000, "Fjord Wyng", "aa", "s", 1), (5001, "def ghy(p)", "BB", None, 1), (5002, "Bryn Hjqr", "aa", None, 1)]
+    gone = [(6000, "Gwyr Pdqs", None, None, 1), (6001, noise, "aa", "s", 1), (6002, "123 ...", "aa", "s", 1)]
+    docs = frame(spark, plain + short + gone)
+    ll, n = L.fit_text_model(docs.select("lang", "text")).score([L.letters(r[1].encode()) for r in short])
+    assert (ll.max(axis=1) <= 0).all() and (n > 0).all()  # the text alone tells nothing
+    assert {r.doc_id: r.lang for r in L.keep_identified(docs).collect()} == {r[0]: r[2] for r in plain + short}
+
+
 def test_pipeline(spark, tmp_path):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     step = docs
