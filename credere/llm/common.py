@@ -76,16 +76,17 @@ def blocks_of(batch: pa.RecordBatch, column: str, most: int) -> Iterator[pa.Reco
 
 def map_rows(df: DataFrame, schema: T.StructType, fn: Callable[[pa.RecordBatch, pa.Schema], pa.RecordBatch],
              text_col: str | None = None, most: int = 4 << 20, rows: int | None = None) -> DataFrame:
-    """``fn`` over each Arrow batch, or over blocks of ``most`` bytes in ``text_col`` or of ``rows`` rows; the rows stay in their partitions."""
+    """``fn`` over each Arrow batch, or over blocks of ``most`` bytes in ``text_col``, of ``rows`` rows at most; the rows stay in their partitions."""
     ship_package(df.sparkSession)
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if batch.num_rows:
-                step = rows or batch.num_rows
-                for block in blocks_of(batch, text_col, most) if text_col else (batch.slice(i, step) for i in range(0, batch.num_rows, step)):
-                    yield fn(block, out)
+                for block in blocks_of(batch, text_col, most) if text_col else (batch,):
+                    step = rows or block.num_rows
+                    for i in range(0, block.num_rows, step):
+                        yield fn(block.slice(i, step), out)
 
     return df.mapInArrow(run, schema)
 

@@ -31,11 +31,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, extend, map_rows, ship_package, stage, texts, with_fields
+from credere.llm.common import arrow_schema, blocks_of, extend, map_rows, ship_package, stage, texts, with_fields
 
 BUCKETS = 1 << 15
 LANG_BLOCK = 8         # languages scored at a time
-PENDING = 1 << 20      # trigram counts kept in a task before they are merged
+PENDING = 1 << 19      # trigram counts kept in a task before they are merged
 CELLS = 1 << 20        # rows x languages in a batch
 HOT_SHARE = 4096
 SMOOTH = 0.5           # trigram pseudo-count
@@ -43,7 +43,8 @@ STRENGTH = 5.0         # rows that a parent level's prior counts as
 DECLARED_SMOOTH = 1.0
 EVIDENCE = 1.0 / 3.0   # trigrams overlap: each letter is in three
 UNKNOWN = 1e-3         # prior share of texts in no known language among those that declare one
-BLOCK_BYTES = 1 << 20
+BLOCK_BYTES = 1 << 18
+TEXT_BYTES = 4 << 20   # texts cleaned at a time
 
 _LETTERS = bytes(b + 32 if 0x41 <= b <= 0x5A else b if 0x61 <= b <= 0x7A or b >= 0x80 else 0x20 for b in range(256))
 _MARKUP = re.compile(rb"<(script|style)\b.*?</\1\s*>|<!--.*?-->|<[^>]*>|&#?\w+;", re.S | re.I)
@@ -123,7 +124,7 @@ def fit_text_model(labelled: DataFrame, html: bool = False) -> TextModel:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pending, size = [], 0
-        for batch in batches:
+        for batch in (b for whole in batches for b in blocks_of(whole, "text", TEXT_BYTES)):
             label = np.array([place.get(x, -1) for x in batch.column("lang").to_pylist()], np.int64)
             cleaned = [letters(visible(t) if html else t) if k >= 0 else b"" for k, t in zip(label, texts(batch.column("text")), strict=True)]
             for rows, buckets, starts, ends in trigram_blocks(cleaned):
@@ -261,7 +262,7 @@ def identify(rows: DataFrame, model: TextModel, html: bool = False) -> DataFrame
                       ll=pa.ListArray.from_arrays(pa.array(np.arange(len(ll) + 1) * k, pa.int32()), pa.array(ll.ravel())).cast(out.field("ll").type))
 
     filled = rows.select(*[F.coalesce(F.col(c), F.lit("")).alias(c) if c in ("host", "domain", "suffix") else F.col(f"`{c}`") for c in rows.columns])
-    seen = stage(map_rows(filled, schema, score, rows=max(1, CELLS // k)), "language_evidence")
+    seen = stage(map_rows(filled, schema, score, "text", TEXT_BYTES, rows=max(1, CELLS // k)), "language_evidence")
     priors, whole = host_priors(seen, k)
     priors = stage(priors, "host_priors")
     tables = sc.broadcast({c: evidence_table(seen, c, k) for c in ("declared", "path")})
