@@ -128,3 +128,17 @@ def same(left: DataFrame, right: DataFrame, *names: str):
         one = left[n].eqNullSafe(right[n])
         cond = one if i == 0 else cond & one
     return cond
+
+
+def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, share: int = 4096) -> DataFrame:
+    """``rows`` left-joined with a table of one row a key, where one key may hold most of the rows.
+
+    Keys with more than 1/``share`` of the table's ``weight`` (fewer than ``share`` at any size) are
+    broadcast and meet their rows where these are; all other keys go through a shuffle join. Keys are not null.
+    """
+    table = stage(table, "join_table")
+    total = table.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    hot = F.broadcast(table.where(F.col(weight) * share > total))
+    told = rows.join(hot, keys)
+    rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(F.col(weight) * share <= total), keys, "left")
+    return told.unionByName(rest)
