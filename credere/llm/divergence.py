@@ -6,11 +6,12 @@ sum to its lexicographic ordinal. Texts are then streamed through it, byte by by
 once, and counted by ordinal; ordinals name the terms in all later tables and break ties.
 
 * Terms are counted by document per task before they are shuffled.
-* The automaton has two parts. A kept term with more than 1/32768 of all (document, kept term)
-  pairs is frequent: fewer than 32768 exist at any size, and their transducer is broadcast, so that
+* The automaton has two parts. A kept term with more than 1/131072 of all (document, kept term)
+  pairs is frequent: fewer than 131072 exist at any size, and their transducer is broadcast, so that
   texts stream through it where they are read. All other terms are counted per task and stream through
   one of many shards; a shard is a transducer of a bounded number of terms, and its task holds
-  one shard and one batch at a time.
+  one shard and one batch at a time. A bit array of fixed size, one bit a hash of a kept term, keeps most words
+  that no language keeps from leaving their task; it never decides a count.
 * Every source is compared with every other one of its language, as asked for. Tasks hold 512 terms of
   a language for two tiles of 128 sources each and send one sum for a pair of sources.
 * A language is a label, a source a label within it; null counts as the empty one. Neither is ever
@@ -24,6 +25,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -31,8 +33,10 @@ from pyspark.sql import types as T
 from credere.functions.ranking import global_position
 from credere.llm.common import arrow_schema, blocks_of, hot_join, mix, ship_package, stage, texts
 
-FREQUENT = 1 << 15
+FREQUENT = 1 << 17
 SHARD_WEIGHT = 1 << 16  # terms of a shard, a long one counting for more
+SHARD_PROBES = 1 << 18  # counted terms that stream through a shard, on average
+BITS = 1 << 26          # of the filter, whatever the number of terms
 PENDING = 1 << 19       # counted terms kept in a task before they leave it
 BLOCK_BYTES = 1 << 20
 CHUNK, TILE = 512, 128
@@ -157,13 +161,6 @@ class Transducer:
             at += 1
         return out
 
-    def to_row(self) -> dict:
-        return {c: getattr(self, c).tobytes() for c in ("key", "target", "output", "final")}
-
-    @classmethod
-    def from_row(cls, row: dict) -> Transducer:
-        return cls(*(np.frombuffer(row[c], np.int64) for c in ("key", "target", "output", "final")))
-
 
 class Vocabulary:
     """A transducer over (language, term) rows in ascending order, and the number each ordinal stands for."""
@@ -178,6 +175,21 @@ class Vocabulary:
         place = {name: LANGS + i for i, name in enumerate(langs)}
         return cls(langs, Transducer.build((place[name], *t) for name, t in zip(lang, term, strict=True)), numbers)
 
+    def packed(self) -> bytes:
+        """Everything as one value: lengths, then arrays, then languages."""
+        t = self.transducer
+        parts = [a.astype(np.int64).tobytes() for a in (t.key, t.target, t.output, t.final, self.numbers)]
+        parts += [name.encode() for name in self.place]
+        return b"".join([np.array([len(parts), *[len(p) for p in parts]], np.int64).tobytes(), *parts])
+
+    @classmethod
+    def unpacked(cls, blob: bytes) -> Vocabulary:
+        count = int(np.frombuffer(blob, np.int64, 1)[0])
+        ends = 8 * (count + 1) + np.cumsum(np.frombuffer(blob, np.int64, count, 8))
+        parts = [blob[a:b] for a, b in zip([8 * (count + 1), *ends[:-1]], ends, strict=True)]
+        arrays = [np.frombuffer(p, np.int64) for p in parts[:5]]
+        return cls([p.decode() for p in parts[5:]], Transducer(*arrays[:4]), arrays[4])
+
     def find(self, symbol: np.ndarray, flat: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
         found = self.transducer.ordinals(symbol, flat, start, size)
         return np.where(found >= 0, self.numbers[found] if len(self.numbers) else -1, -1)
@@ -222,14 +234,27 @@ def kept_terms(docs: DataFrame, min_docs: int) -> DataFrame:
     return stage(global_position(held, [F.col("lang"), F.col("term")], "ord"), "kept_terms")
 
 
-SHARD = _schema(shard=T.LongType(), langs=T.ArrayType(T.StringType()), numbers=T.BinaryType(), key=T.BinaryType(), target=T.BinaryType(), output=T.BinaryType(), final=T.BinaryType())
+def _hash(lang: str, term: bytes) -> int:
+    """Spark's xxhash64(lang, term), unsigned."""
+    return xxhash.xxh64_intdigest(term, xxhash.xxh64_intdigest(lang.encode(), 42))
+
+
+def kept_bits(kept: DataFrame) -> np.ndarray:
+    """The filter: BITS bits in words of 64, which is all that reaches the driver."""
+    bit = F.pmod(F.xxhash64("lang", "term"), F.lit(BITS))
+    words = kept.select(bit.alias("bit")).groupBy(F.shiftright("bit", 6).alias("word")).agg(F.expr("bit_or(shiftleft(1L, cast(bit & 63 as int)))").alias("bits")).toArrow()
+    out = np.zeros(BITS // 64, np.int64)
+    out[words.column("word").to_numpy()] = words.column("bits").to_numpy()
+    return out
+
+
+SHARD = _schema(shard=T.LongType(), built=T.BinaryType())
 
 
 def _build_shard(table: pa.Table) -> pa.Table:
     table = table.sort_by("ord")
-    vocabulary = Vocabulary.build(table.column("lang").to_pylist(), table.column("term").to_pylist(), table.column("ord").to_numpy())
-    row = {"shard": table.column("shard")[0].as_py(), "langs": list(vocabulary.place), "numbers": vocabulary.numbers.astype(np.int64).tobytes(), **vocabulary.transducer.to_row()}
-    return pa.Table.from_pylist([row], schema=arrow_schema(SHARD))
+    built = Vocabulary.build(table.column("lang").to_pylist(), table.column("term").to_pylist(), table.column("ord").to_numpy())
+    return pa.Table.from_pylist([{"shard": table.column("shard")[0].as_py(), "built": built.packed()}], schema=arrow_schema(SHARD))
 
 
 def _shard(shards: int) -> Column:
@@ -250,30 +275,35 @@ def _tokens(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
 def recount(docs: DataFrame, kept: DataFrame) -> DataFrame:
     """(lang, source, ord, n): occurrences of each kept term in the rows of (lang, source, text), where there are any."""
     size = kept.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("pairs"), F.coalesce(F.sum(1 + F.floor(F.octet_length("term") / 64)), F.lit(0)).alias("weight")).first()
-    shards = max(1, -(-size["weight"] // SHARD_WEIGHT))
     often = kept.where(F.col("docs") * FREQUENT > size["pairs"]).orderBy("ord").toArrow()  # fewer than FREQUENT terms
     shared = docs.sparkSession.sparkContext.broadcast(Vocabulary.build(often.column("lang").to_pylist(), often.column("term").to_pylist(), often.column("ord").to_numpy()))
+    filtered = docs.sparkSession.sparkContext.broadcast(kept_bits(kept))
     schema = _schema(lang=T.StringType(), source=T.StringType(), ord=T.LongType(), term=T.BinaryType(), n=T.LongType())
     out = arrow_schema(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         vocabulary: Vocabulary = shared.value
+        bits = filtered.value
         groups: dict[tuple[str, str], int] = {}
         known: list[tuple[np.ndarray, np.ndarray]] = []    # (group and ordinal, count)
         other: Counter = Counter()                         # (group, term)
         rows = 0
 
         def told() -> Iterator[pa.RecordBatch]:
+            names = [g[0] for g in groups]
             lang, source = (pa.array([g[i] for g in groups], pa.string()) for i in (0, 1))
+            at = np.array([_hash(names[g], t) for g, t in other], np.uint64) & np.uint64(BITS - 1)
+            pick = bits[(at >> np.uint64(6)).astype(np.int64)].view(np.uint64) >> (at & np.uint64(63)) & np.uint64(1)
+            may = [k for k, one in zip(other, pick.tolist(), strict=True) if one]
             if known:
                 code, at = np.unique(np.concatenate([k for k, _ in known]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([c for _, c in known]).astype(float)).astype(np.int64)
                 own = pa.array(code >> 40)
                 yield pa.RecordBatch.from_arrays([lang.take(own), source.take(own), pa.array(code & ((1 << 40) - 1)), pa.nulls(len(code), pa.binary()), pa.array(n)], schema=out)
-            if other:
-                own = pa.array([k[0] for k in other], pa.int64())
-                yield pa.RecordBatch.from_arrays([lang.take(own), source.take(own), pa.nulls(len(other), pa.int64()), pa.array([k[1] for k in other], pa.binary()),
-                                                  pa.array(list(other.values()), pa.int64())], schema=out)
+            if may:
+                own = pa.array([k[0] for k in may], pa.int64())
+                yield pa.RecordBatch.from_arrays([lang.take(own), source.take(own), pa.nulls(len(may), pa.int64()), pa.array([k[1] for k in may], pa.binary()),
+                                                  pa.array([other[k] for k in may], pa.int64())], schema=out)
 
         for batch in (b for whole in batches for b in blocks_of(whole, "text", BLOCK_BYTES)):
             lang, raw = batch.column("lang").to_pylist(), texts(batch.column("text"))
@@ -292,11 +322,12 @@ def recount(docs: DataFrame, kept: DataFrame) -> DataFrame:
         yield from told()
 
     raw = stage(docs.mapInArrow(run, schema), "term_counts")
+    shards = max(1, -(-size["weight"] // SHARD_WEIGHT), -(-raw.where("term is not null").count() // SHARD_PROBES))
     index = kept.withColumn("shard", _shard(shards)).groupBy("shard").applyInArrow(_build_shard, SHARD)
     probes = raw.where("term is not null").select(_shard(shards), "lang", "source", "term", "n")
-    blank = [F.lit(None).cast(f.dataType).alias(f.name) for f in SHARD.fields[1:]]
-    both = (index.select("shard", F.lit(0).alias("kind"), *SHARD.names[1:], *[F.lit(None).cast(t).alias(c) for c, t in (("lang", "string"), ("source", "string"), ("term", "binary"), ("n", "long"))])
-            .unionByName(probes.select("shard", F.lit(1).alias("kind"), *blank, "lang", "source", "term", "n")))
+    none = {"lang": "string", "source": "string", "term": "binary", "n": "long"}
+    both = (index.select("shard", F.lit(0).alias("kind"), "built", *[F.lit(None).cast(t).alias(c) for c, t in none.items()])
+            .unionByName(probes.select("shard", F.lit(1).alias("kind"), F.lit(None).cast("binary").alias("built"), *none)))
     dealt = both.repartition("shard").sortWithinPartitions("shard", "kind")
     met = _schema(lang=T.StringType(), source=T.StringType(), ord=T.LongType(), n=T.LongType())
     laid = arrow_schema(met)
@@ -309,8 +340,7 @@ def recount(docs: DataFrame, kept: DataFrame) -> DataFrame:
             for a, b in zip(cuts[:-1], cuts[1:], strict=True):
                 part = batch.slice(a, b - a)
                 if b > a and kind[a] == 0:
-                    row = part.to_pylist()[0]
-                    vocabulary, at = Vocabulary(row["langs"], Transducer.from_row(row), np.frombuffer(row["numbers"], np.int64)), owner[a]
+                    vocabulary, at = Vocabulary.unpacked(part.column("built")[0].as_py()), owner[a]
                 elif b > a and at == owner[a]:
                     term = texts(part.column("term"))
                     length = np.array([len(t) for t in term], np.int64)
