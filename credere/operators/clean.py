@@ -66,23 +66,47 @@ class ImputeModel:
         return df.select(*[exprs[c].alias(c) if c in exprs else F.col(c) for c in df.columns])
 
 
+def value_counts(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """(column, v, n): how often each non-missing value of each numeric column occurs, from one scan."""
+    types = {f.name: f.dataType for f in df.schema.fields}
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), value_or_null(c, types[c]).cast("double").alias("v")) for c in cols])
+    return df.select(F.inline(pairs)).filter(F.col("v").isNotNull()).groupBy("column", "v").agg(F.count(F.lit(1)).alias("n"))
+
+
+def exact_quantiles(df: DataFrame, cols: Iterable[str], qs: Iterable[float] = (0.5,)) -> dict[str, list]:
+    """Exact discrete quantiles (the ceil(q*n)-th smallest non-missing value) of many columns at any scale.
+
+    One scan counts the distinct values of all columns (partial aggregation), one range sort by
+    column and value gives the counts a distributed prefix sum, and one more pass over the counts picks
+    the value that holds each rank. A column without values has None. No task sorts a raw column.
+    """
+    cols, qs = list(cols), list(qs)
+    if not cols:
+        return {}
+    ranked = exclusive_prefix_sum(value_counts(df, cols), [F.col("column"), F.col("v")], "n", "below")  # checkpointed: the scan runs once
+    spans = {r["column"]: (r["first"], r["n"]) for r in ranked.groupBy("column").agg(F.min("below").alias("first"), F.sum("n").alias("n")).collect()}
+    picks = [F.max(F.when((F.col("column") == c) & (F.col("below") < first + k) & (F.col("below") + F.col("n") >= first + k), F.col("v"))).alias(f"{i}_{j}")
+             for i, c in enumerate(cols) if c in spans for first, n in [spans[c]] for j, q in enumerate(qs) for k in [max(1, math.ceil(q * n))]]
+    row = ranked.agg(*picks).first().asDict() if picks else {}
+    return {c: [row.get(f"{i}_{j}") for j in range(len(qs))] for i, c in enumerate(cols)}
+
+
 def exact_quantile(df: DataFrame, col: str, q: float = 0.5):
-    """Exact discrete quantile (the ceil(q*n)-th smallest non-missing value) at any scale.
+    """:func:`exact_quantiles` of one column."""
+    return exact_quantiles(df, [col], [q])[col][0]
+
+
+def sketch_certificate(df: DataFrame, sketched: dict, relative_error: float = 0.001) -> DataFrame:
+    """(column, rows, low, high, certified): whether each sketched median keeps its promise.
 
-    Values are counted per distinct value (partial aggregation); the counts get
-    a distributed prefix sum, and the group holding rank ceil(q*n) is selected.
-    No task ever sorts the raw column.
+    ``low`` and ``high`` are the exact values at the ranks 0.5 - error and 0.5 + error; a median from a
+    sketch of that error must lie between them. ``rows`` counts the non-missing values.
     """
-    dtype = df.schema[col].dataType
-    vals = df.select(value_or_null(col, dtype).cast("double").alias("v")).filter(F.col("v").isNotNull())
-    counts = vals.groupBy("v").agg(F.count(F.lit(1)).alias("n"))
-    ranked = exclusive_prefix_sum(counts, [F.col("v")], "n", "below")  # checkpointed: the scan runs once
-    total = ranked.agg(F.sum("n")).first()[0]
-    if not total:
-        return None
-    k = max(1, math.ceil(q * total))
-    hit = ranked.filter((F.col("below") < F.lit(k)) & (F.col("below") + F.col("n") >= F.lit(k)))
-    return hit.agg(F.min("v").alias("v")).first()["v"]
+    cols = list(sketched)
+    counts = {r["column"]: r["n"] for r in value_counts(df, cols).groupBy("column").agg(F.sum("n").alias("n")).collect()}
+    bounds = exact_quantiles(df, cols, (0.5 - relative_error, 0.5 + relative_error))
+    rows = [(c, counts.get(c, 0), low, high, low is None or low <= sketched[c] <= high) for c, (low, high) in bounds.items()]
+    return df.sparkSession.createDataFrame(rows, "`column` string, rows bigint, low double, high double, certified boolean")
 
 
 def fit_impute(df: DataFrame, median: Iterable[str] = (), mean: Iterable[str] = (),
@@ -91,8 +115,8 @@ def fit_impute(df: DataFrame, median: Iterable[str] = (), mean: Iterable[str] =
     """Fit approximate medians and means in ONE aggregate scan; each mode is one small aggregation.
 
     ``relative_error > 0`` uses the mergeable GK sketch (``Imputer`` default
-    0.001). ``relative_error=0`` asks for the exact median, computed by
-    :func:`exact_quantile` (one counting aggregation per column).
+    0.001). ``relative_error=0`` asks for exact medians, computed by
+    :func:`exact_quantiles` (one counting aggregation for all columns).
     """
     median, mean, mode = list(median), list(mean), list(mode)
     types = {f.name: f.dataType for f in df.schema.fields}
@@ -112,7 +136,7 @@ def fit_impute(df: DataFrame, median: Iterable[str] = (), mean: Iterable[str] =
             model.median = {c: row[f"median_{c}"] for c in median}
         model.mean = {c: row[f"mean_{c}"] for c in mean}
     if exact:
-        model.median = {c: exact_quantile(df, c, 0.5) for c in median}
+        model.median = {c: found[0] for c, found in exact_quantiles(df, median).items()}
     model.mode = {c: mode_value(df, c, null_counts=mode_null_counts) for c in mode}
     return model
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions.casts import guarded_cast, missing_flag
 from ..profile import Profile
+from .quality import distinct_counts
 
 
 def select_groups(df: DataFrame, *groups: Iterable[str]) -> DataFrame:
@@ -51,23 +52,19 @@ def binarise_label(df: DataFrame, code_col: str, positive, out_col: str | None =
 
 
 def column_profile(df: DataFrame, approx: bool = False, sentinel: str | None = "NA") -> DataFrame:
-    """One row per column: column, type, rows, missing, distinct.
+    """One row per column: column, type, rows, missing, distinct (NULL counts as one more value).
 
-    One aggregate over the table (exact distinct counts share one Expand; with
-    ``approx`` HyperLogLog++ sketches avoid it), then the wide row is turned
-    into rows with ``inline`` - no per-column jobs.
+    Rows and missing values come from one aggregate over the table; distinct counts from stacked
+    (column, value) pairs in two stages, or from sketches with ``approx``. No per-column jobs, no Expand.
     """
     aggs = [F.count(F.lit(1)).alias("_rows")]
     for i, f in enumerate(df.schema.fields):
         aggs.append(F.count_if(missing_flag(f.name, f.dataType, True, sentinel)).alias(f"_m{i}"))
-        distinct = (F.approx_count_distinct(F.col(f.name)) if approx
-                    else F.count_distinct(F.col(f.name)))
-        # NULL counts as one more value, as select(c).distinct() does
-        aggs.append((distinct + F.max(F.col(f.name).isNull().cast("int"))).alias(f"_d{i}"))
-    wide = df.agg(*aggs)
     rows = F.array(*[
         F.struct(F.lit(f.name).alias("column"), F.lit(f.dataType.simpleString()).alias("type"),
-                 F.col("_rows").alias("rows"), F.col(f"_m{i}").alias("missing"),
-                 F.col(f"_d{i}").cast("bigint").alias("distinct"))
+                 F.col("_rows").alias("rows"), F.col(f"_m{i}").alias("missing"))
         for i, f in enumerate(df.schema.fields)])
-    return wide.select(F.inline(rows))
+    told = df.agg(*aggs).select(F.inline(rows))
+    wide = distinct_counts(df, approx=approx)
+    counts = wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(f"`{c}`").alias("distinct")) for c in wide.columns])))
+    return told.join(F.broadcast(counts), "column").select("column", "type", "rows", "missing", "distinct")

@@ -3,9 +3,11 @@
 Categorical indexing is a *label table* - DataFrame(column, value, count,
 index) - instead of an in-driver label array: counts come from one
 aggregation over all categorical columns (partial aggregation absorbs hot
-values), positions from a distributed sort (no single-partition window), and
-the index is applied with one equi-join per column, whose strategy the engine
-picks by the table's bytes. Ordering equals
+values), positions from a distributed sort (no single-partition window). The
+index is applied heavy-light: the most frequent values of a column are a literal
+map in the projection and never move; only other rows look their value up, in a
+broadcast table of checked size, or beyond that size through a shuffle join that
+the heavy rows pass under salted keys. Ordering equals
 ``StringIndexer(stringOrderType="frequencyDesc")``: most frequent first,
 ties by text ascending, values indexed as text.
 
@@ -28,6 +30,9 @@ from ..functions.ranking import global_position
 from ..profile import Profile
 
 POLICIES = ("skip", "keep", "error")
+HEAVY = 64               # values of a column kept as a literal map
+BROADCAST_LABELS = 200_000  # further values of a column that are broadcast: a few MB
+SALTS = 1024
 
 
 def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
@@ -42,6 +47,19 @@ def category_counts(df: DataFrame, cols: list[str]) -> DataFrame:
 class LabelIndex:
     labels: DataFrame            # column, value, count, index (double)
     arity: dict[str, int]
+    _heavy: dict[str, dict[str, float]] | None = None
+
+    def heavy(self) -> dict[str, dict[str, float]]:
+        """The HEAVY most frequent values of each column: a bounded number of rows, read once."""
+        if self._heavy is None:
+            self._heavy = {c: {} for c in self.arity}
+            for r in self.labels.filter(F.col("index") < HEAVY).select("column", "value", "index").collect():
+                self._heavy.setdefault(r["column"], {})[r["value"]] = r["index"]
+        return self._heavy
+
+    def light(self, col: str) -> DataFrame | None:
+        """The other values of a column, if it has any."""
+        return self.table(col).filter(F.col("index") >= HEAVY) if self.arity.get(col, 0) > HEAVY else None
 
     def table(self, col: str) -> DataFrame:
         return self.labels.filter(F.col("column") == F.lit(col)).select("value", "index")
@@ -71,9 +89,28 @@ def nominal(col: str | Column, name: str, num_vals: int):
     return (F.col(col) if isinstance(col, str) else col).alias(name, metadata=meta)
 
 
+def look_up(df: DataFrame, index: LabelIndex, col: str, out: str) -> DataFrame:
+    """``df`` with ``out``: the index of ``col``'s value, null for a NULL or unseen one."""
+    text, heavy, light = F.col(col).cast("string"), index.heavy().get(col, {}), index.light(col)
+    known = F.create_map(*[F.lit(x) for kv in heavy.items() for x in kv])[text] if heavy else F.lit(None).cast("double")
+    if light is None:
+        return df.withColumn(out, known)
+    k, v, h = (f"_{n}_{col}" for n in ("k", "v", "h"))
+    df = df.withColumn(h, known)
+    if index.arity[col] <= BROADCAST_LABELS:
+        lab = F.broadcast(light.select(F.col("value").alias(k), F.col("index").alias(v)))
+        met = df.withColumn(k, F.when(F.col(h).isNull(), text)).join(lab, k, "left")
+    else:
+        # heavy and NULL rows meet nothing: their keys only spread them over the tasks
+        spread = F.concat(F.lit("s"), F.pmod(F.xxhash64(*[c for c in df.columns if c != h]), F.lit(SALTS)).cast("string"))
+        moved = df.withColumn(k, F.when(F.col(h).isNull() & text.isNotNull(), F.concat(F.lit("v"), text)).otherwise(spread))
+        met = moved.join(light.select(F.concat(F.lit("v"), "value").alias(k), F.col("index").alias(v)), k, "left")
+    return met.withColumn(out, F.coalesce(F.col(h), F.col(v))).drop(k, v, h)
+
+
 def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy: str = "skip",
                       suffix: str = "_index", attach_metadata: bool = True, rank_encoded=()) -> DataFrame:
-    """T1/T2/T10 apply: one equi-join per column; ``rank_encoded`` columns carry no nominal metadata.
+    """T1/T2/T10 apply: one lookup per column; ``rank_encoded`` columns carry no nominal metadata.
 
     ``skip`` drops rows with a NULL or unseen value in any column (the
     original behaviour), ``keep`` gives them the extra index ``arity``,
@@ -82,22 +119,17 @@ def apply_label_index(df: DataFrame, index: LabelIndex, cols: list[str], policy:
     if policy not in POLICIES:
         raise ValueError(f"policy must be one of {POLICIES}")
     for c in cols:
-        k, v = f"_k_{c}", f"_v_{c}"
-        lab = index.table(c).select(F.col("value").alias(k), F.col("index").alias(v))
-        keyed = df.withColumn(k, F.col(c).cast("string"))
         out_col = c + suffix
+        df = look_up(df, index, c, out_col)
+        found = F.col(out_col)
         if policy == "skip":
-            df = keyed.join(lab, k, "inner")
-            idx = F.col(v)
+            df = df.filter(found.isNotNull())
+        elif policy == "keep":
+            df = df.withColumn(out_col, F.coalesce(found, F.lit(float(index.arity[c]))))
         else:
-            df = keyed.join(lab, k, "left")
-            if policy == "keep":
-                idx = F.coalesce(F.col(v), F.lit(float(index.arity[c])))
-            else:
-                idx = F.when(F.col(v).isNull(), F.raise_error(
-                    F.concat(F.lit(f"unseen or NULL category in {c}: "), F.coalesce(F.col(k), F.lit("NULL")))
-                )).otherwise(F.col(v)).cast("double")
-        df = df.withColumn(out_col, idx).drop(k, v)
+            df = df.withColumn(out_col, F.when(found.isNull(), F.raise_error(
+                F.concat(F.lit(f"unseen or NULL category in {c}: "), F.coalesce(F.col(c).cast("string"), F.lit("NULL")))
+            )).otherwise(found).cast("double"))
         arity = index.arity[c] + (1 if policy == "keep" else 0)
         if attach_metadata and c not in rank_encoded:
             df = df.withColumn(out_col, nominal(out_col, out_col, max(arity, 1)))

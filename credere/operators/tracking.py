@@ -69,7 +69,13 @@ class Tracker:
         return path
 
     def load_model(self, run_id: str, model_cls, name: str = "model"):
-        path = self.artifact_path(run_id, name)
+        """A model of a finished run. ``runs`` is the commit record: its row is written last, so a run that failed or
+        is half written is not there, or not as finished, and its artifacts are never loaded."""
+        done = self.runs().filter((F.col("run_id") == run_id) & (F.col("status") == FINISHED))
+        row = done.select("artifact_path").first()
+        if row is None:
+            raise LookupError(f"no finished run {run_id}")
+        path = f"{row['artifact_path']}/{name}" if row["artifact_path"] else self.artifact_path(run_id, name)
         return model_cls.load(path) if hasattr(model_cls, "read") else model_cls.load(self.spark, path)
 
     def end_run(self, run_id: str, status: int = FINISHED) -> None:
@@ -93,13 +99,21 @@ class Tracker:
             .write.mode("append").partitionBy("experiment").parquet(f"{self.root}/runs")
 
     def runs(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/runs")
+        """The runs that ended, finished or failed. A root without any has none."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.root}/runs")
+        if not path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path):
+            return self.spark.createDataFrame([], RUNS)
+        return self.spark.read.schema(RUNS).parquet(f"{self.root}/runs")
+
+    def _of_runs(self, name: str) -> DataFrame:
+        """Rows of runs that ended: those that a run wrote before it broke off do not show."""
+        return self.spark.read.parquet(f"{self.root}/{name}").join(self.runs().select("run_id"), "run_id", "left_semi")
 
     def metrics(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/run_metrics")
+        return self._of_runs("run_metrics")
 
     def params(self) -> DataFrame:
-        return self.spark.read.parquet(f"{self.root}/run_params")
+        return self._of_runs("run_params")
 
 
 def leaderboard(runs: DataFrame, metrics: DataFrame, metric: str = "accuracy", top: int = 1) -> DataFrame:

@@ -79,7 +79,7 @@ def predict(model, features: DataFrame, keep: list[str]) -> DataFrame:
     out = model.transform(features)
     if "rawPrediction" in out.columns:
         out = score_from_raw(out)
-    else:
+    elif "score" not in out.columns:   # a given model brings its own
         out = out.withColumn("score", F.col("prediction"))
     return out.select(*keep, "prediction", "score")
 

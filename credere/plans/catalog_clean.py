@@ -364,3 +364,67 @@ def q_random_split(spark, sf):
     sides = L.random_split(cleaned(spark, sf), (0.8, 0.2), seed=100)
     train, test = (df.withColumn("split", F.lit(name)) for df, name in zip(sides, ("train", "test"), strict=True))
     return train.unionByName(test)
+
+
+# ---------------------------------------------------------------- sketches and samples
+_STATS_COLS = ("l_quantity", "l_extendedprice", "l_discount")
+_ERROR = 0.001
+
+
+def _certificate_sql():
+    parts = []
+    for c in _STATS_COLS:
+        v = no_nan(c, PR.type_of(c))
+        parts.append(f"SELECT '{c}' AS \"column\", count({v}) AS rows, CAST(quantile_disc({v}, {0.5 - _ERROR}) AS DOUBLE) AS low, "
+                     f"CAST(quantile_disc({v}, {0.5 + _ERROR}) AS DOUBLE) AS high, TRUE AS certified FROM typed")
+    return _sql(" UNION ALL ".join(parts), upto="typed")
+
+
+@register("median_sketch", _certificate_sql())
+def q_median_sketch(spark, sf):
+    """A8/I1 by the sketch, as the job takes them: each sketched median lies between the exact values at the ranks
+    0.5 - error and 0.5 + error, which are returned with the verdict."""
+    df = typed(spark, sf)
+    return C.sketch_certificate(df, C.fit_impute(df, median=_STATS_COLS, relative_error=_ERROR).median, _ERROR)
+
+
+@register("distinct_sketch", _sql(" UNION ALL ".join(
+    f"SELECT '{c}' AS \"column\", count(DISTINCT {c}) AS n, TRUE AS within FROM typed" for c in PR.names), upto="typed"))
+def q_distinct_sketch(spark, sf):
+    """A7 by sketches: each column's exact count, and whether the sketch of two halves of the table, merged,
+    is within four standard errors of it."""
+    df = typed_spread(spark, sf)
+    half = F.pmod(F.hash("l_orderkey"), F.lit(2)) == 0
+    parts = Q.distinct_sketches(df.filter(half)).unionByName(Q.distinct_sketches(df.filter(~half)))
+    guess = Q.sketch_counts(Q.merge_sketches(parts)).withColumnRenamed("n", "guess")
+    exact = Q.distinct_by_column(df, null_as_value=False)
+    near = F.abs(F.col("guess") - F.col("n")) <= F.greatest(F.lit(1.0), 4 * Q.SKETCH_ERROR * F.col("n"))
+    return exact.join(F.broadcast(guess), "column").select("column", "n", near.alias("within"))
+
+
+SAMPLE_ROWS = 1000
+
+
+@register("sample_rows", f"SELECT o_orderkey, o_custkey, o_orderstatus FROM orders ORDER BY md5(CAST(o_orderkey AS VARCHAR)), o_orderkey LIMIT {SAMPLE_ROWS}")
+def q_sample_rows(spark, sf):
+    """L5 to a row count: exactly 1000 orders, the same under any partitioning (the sampling operator itself)."""
+    return L.bottom_k(table(spark, sf, "orders"), "o_orderkey", SAMPLE_ROWS).select("o_orderkey", "o_custkey", "o_orderstatus")
+
+
+@register("scan_rejects", """
+SELECT kind, count(*) AS lines, sum(l_orderkey) AS keys FROM (
+  SELECT l_orderkey, CASE WHEN l_orderkey % 97 = 0 THEN 'short' WHEN l_orderkey % 89 = 0 THEN 'long' ELSE 'good' END AS kind FROM lineitem) GROUP BY kind""")
+def q_scan_rejects(spark, sf):
+    """Lineitem as delimited text in which some lines lost a field and some gained one; good rows and quarantined
+    lines are counted, with the sum of their keys."""
+    text = raw(spark, sf)
+    names = text.columns
+    key = F.col("l_orderkey").cast("bigint")
+    fields = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in names])
+    short = F.concat_ws("|", *[F.coalesce(c, F.lit("")) for c in names[:-1]])
+    path = f"{scratch_path(spark, 'lines')}"
+    text.select(F.when(key % 97 == 0, short).when(key % 89 == 0, F.concat(fields, F.lit("|more"))).otherwise(fields).alias("value")).write.text(path)
+    checked = S.read_checked(spark, path, names, header=False)
+    bad = S.rejects(checked).select("kind", "l_orderkey")
+    good = checked.filter(F.col(S.BAD_LINE).isNull()).select(F.lit("good").alias("kind"), "l_orderkey")
+    return good.unionByName(bad).groupBy("kind").agg(F.count(F.lit(1)).alias("lines"), F.sum(F.col("l_orderkey").cast("bigint")).alias("keys"))

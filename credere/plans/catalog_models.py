@@ -1,12 +1,14 @@
-"""Registered queries for trainers, tuning and scoring jobs (rows-only checks).
+"""Registered queries for trainers, tuning and scoring jobs.
 
-Predictions depend on MLlib's numeric optimisers, so these have no SQL twin;
-the driver checks their row counts and schemas. Every fit is seeded.
+Predictions of most fits depend on MLlib's numeric optimisers and have no SQL twin;
+the driver checks their row counts and schemas. Naive Bayes has a closed form, and the
+scoring jobs run a second time with given weights: those have twins. Every fit is seeded.
 """
 
 from __future__ import annotations
 
 from pyspark import StorageLevel
+from pyspark.ml import PipelineModel
 from pyspark.ml.classification import GBTClassificationModel, LogisticRegressionModel
 from pyspark.sql import functions as F
 
@@ -20,7 +22,7 @@ from ..session import scratch_path
 from ..sources.tables import balanced, dirty_lineitem_columns, table
 from ..streaming.score_stream import score_stream
 from .catalog_clean import EXACT
-from .catalog_features import staged_clean, train_test
+from .catalog_features import SPLIT, _feature_ctes, _lab_sql, _slot_names, _slots_sql, _sql, staged_clean, train_test
 from .cleaning import clean_table, row_filters, typed_table
 from .job import DEFAULT_GRID
 from .registry import register
@@ -53,11 +55,33 @@ def _fit_query(name):
 
 for _key, _name in [("fit_lr", "Logistic Regression"), ("fit_svm", "Support Vector Machine"),
                     ("fit_fm", "Factorization Machine"), ("fit_dt", "Decision Tree"),
-                    ("fit_rf", "Random Forest"), ("fit_gbt", "Gradient Boosting Trees"),
-                    ("fit_nb", "Naive Bayes")]:
+                    ("fit_rf", "Random Forest"), ("fit_gbt", "Gradient Boosting Trees")]:
     register(_key)(_fit_query(_name))
 
 
+def _nb_sql():
+    """Multinomial naive Bayes in closed form: class counts and per-slot sums, smoothed by one."""
+    names = _slot_names()
+    ex = _feature_ctes()
+    ex["strain"], ex["stest"] = _slots_sql("itrain"), _slots_sql("itest")
+    ex["cls"] = "SELECT label, count(*) AS n, " + ", ".join(f"sum({x}) AS s_{x}" for x in names) + " FROM strain GROUP BY label"
+    total = " + ".join(f"s_{x}" for x in names)
+    ex["m"] = (f"SELECT label, ln(n + 1.0) - ln((SELECT sum(n) + count(*) FROM cls)) AS pi, "
+               + ", ".join(f"ln(s_{x} + 1.0) - ln({total} + {len(names)}.0) AS t_{x}" for x in names) + " FROM cls")
+    raw = {i: f"{m}.pi + " + " + ".join(f"x.{n} * {m}.t_{n}" for n in names) for i, m in ((0, "a"), (1, "b"))}
+    ex["r"] = f"SELECT x.l_orderkey, x.l_linenumber, x.label, {raw[0]} AS r0, {raw[1]} AS r1 FROM stest x, (SELECT * FROM m WHERE label = 0) a, (SELECT * FROM m WHERE label = 1) b"
+    return _sql("SELECT l_orderkey, l_linenumber, label, CAST(CASE WHEN r1 > r0 THEN 1 ELSE 0 END AS DOUBLE) AS prediction, round(r1, 4) AS score FROM r", extra=ex)
+
+
+@register("fit_nb", _nb_sql())
+def q_fit_nb(spark, sf):
+    """Naive Bayes: fit on the training side, score the held-out side; the score is the log joint of label 1, to 4 digits."""
+    fm, train, test = _features(spark, sf)
+    model = M.estimator("Naive Bayes").fit(train)
+    train.unpersist()
+    return M.predict(model, test, KEEP).withColumn("score", F.round("score", 4))
+
+
 @register("model_sweep")
 def q_model_sweep(spark, sf):
     """M8 + R1-R4: all six trainers on one persisted feature pair, each run tracked;
@@ -136,6 +160,70 @@ def q_score_rows(spark, sf):
     return X.flagged_predictions(rows, fm, lr, KEEP)
 
 
+# ------------------------------------------------------------ jobs that load a model with given weights
+_GIVEN = {**{c: 0.5 / (i + 1) ** 2 for i, c in enumerate(PR.numeric)}, **{f"{c}_index": (-1) ** i * 0.25 / (i + 2) for i, c in enumerate(PR.categorical)}}
+_GIVEN_AT = -3.0
+
+
+def _given_sql(src: str, label: str | None):
+    """Every row of ``src``: rejected where a category is NULL or unseen on the training side, else scored."""
+    ex = dict(SPLIT)
+    ex.update(_lab_sql(PR.categorical))
+    joins = "\n".join(f"LEFT JOIN lab j{i} ON j{i}.cname = '{c}' AND j{i}.value = CAST(t.{c} AS VARCHAR)" for i, c in enumerate(PR.categorical))
+    terms = [f"CAST(t.{c} AS DOUBLE) * {_GIVEN[c]!r}" for c in PR.numeric] + [f"j{i}.idx * {_GIVEN[c + '_index']!r}" for i, c in enumerate(PR.categorical)]
+    bad = " OR ".join(f"j{i}.idx IS NULL" for i in range(len(PR.categorical)))
+    ex["g"] = f"SELECT t.*, ({bad}) AS rejected, {_GIVEN_AT!r} + {' + '.join(terms)} AS sc FROM {src} t\n{joins}"
+    keep = "l_orderkey, l_linenumber" + (f", {label} AS label" if label else "")
+    return _sql(f"SELECT {keep}, rejected, CASE WHEN NOT rejected THEN round(sc, 6) END AS score, "
+                "CASE WHEN NOT rejected THEN CAST(CASE WHEN sc > 0 THEN 1 ELSE 0 END AS DOUBLE) END AS prediction FROM g", extra=ex)
+
+
+def _given_jobs(spark, sf, name):
+    """(cleaned, feature model and given classifier, both saved and loaded again, root of the job's files)."""
+    clean = clean_table(balanced(table(spark, sf, "lineitem")).transform(dirty_lineitem_columns), PR, relative_error=EXACT)
+    train, _ = train_test(spark, sf, clean.df)
+    root = scratch_path(spark, name)
+    T.FeatureBuilder(PR).fit(train).save(f"{root}/features")
+    X.given_linear_model(_GIVEN, _GIVEN_AT).write().overwrite().save(f"{root}/given")
+    return clean, T.FeatureModel.load(spark, f"{root}/features"), PipelineModel.load(f"{root}/given"), root
+
+
+def _told(scored, keep):
+    return scored.select(*keep, "rejected", F.round("score", 6).alias("score"), "prediction")
+
+
+@register("bulk_score_given", _given_sql("clean", "label"))
+def q_bulk_score_given(spark, sf):
+    """X1 with given weights: feature model and classifier saved, loaded and applied to the whole cleaned table, rejected rows included."""
+    clean, fm, model, root = _given_jobs(spark, sf, "given")
+    return _told(X.bulk_score(clean.df, fm, model, KEEP, out_path=f"{root}/scored"), KEEP)
+
+
+@register("score_rows_given", _given_sql("(SELECT * FROM test)", "0"))
+def q_score_rows_given(spark, sf):
+    """X2 with given weights: held-out rows without an outcome, the label defaulted to 0."""
+    clean, fm, model, _ = _given_jobs(spark, sf, "given")
+    _, test = train_test(spark, sf, clean.df)
+    rows = test.withColumn("label", F.coalesce(F.lit(None).cast("int"), F.lit(0)))
+    return _told(X.flagged_predictions(rows, fm, model, KEEP), KEEP)
+
+
+@register("stream_score_given", _given_sql("clean", None))
+def q_stream_score_given(spark, sf):
+    """X3 with given weights: the raw table dealt to several files, read as a stream of one file a batch, cleaned with the
+    fitted statistics, scored, written; started a second time, it finds nothing new."""
+    clean, fm, model, root = _given_jobs(spark, sf, "given")
+    lines = table(spark, sf, "lineitem")
+    lines.repartition(3).write.parquet(f"{root}/in")
+
+    def prepare(stream):
+        return row_filters(clean.impute.transform(typed_table(dirty_lineitem_columns(stream), PR)), PR)
+
+    for _ in range(2):
+        score_stream(spark, f"{root}/in", lines.schema, prepare, fm, model, KEEP[:2], f"{root}/scored", f"{root}/checkpoint", max_files_per_trigger=1)
+    return _told(spark.read.parquet(f"{root}/scored"), KEEP[:2])
+
+
 @register("feature_hash")
 def q_feature_hash(spark, sf):
     """All categorical columns hashed (no fitted table) beside the numeric ones, feeding logistic regression."""

@@ -26,6 +26,26 @@ def read_delimited(spark: SparkSession, path: str, columns: Iterable[str] | None
     return reader.csv(path)
 
 
+BAD_LINE = "_bad_line"
+
+
+def read_checked(spark: SparkSession, path: str, columns: Iterable[str], sep: str = "|", header: bool = True) -> DataFrame:
+    """S1 with a quarantine: the declared columns as text, and ``_bad_line`` with the whole line where it has too
+    few or too many fields (NULL for a good one). With a header, a file whose names or order differ from
+    ``columns`` is an error instead of a table with swapped columns. Lines are parsed whole, whichever columns are read."""
+    fields = [*all_string_schema(columns).fields, T.StructField(BAD_LINE, T.StringType())]
+    return (spark.read.schema(T.StructType(fields)).options(
+        header=str(header).lower(), sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, enforceSchema=str(not header).lower(),
+        columnPruning="false").csv(path))  # a pruned parse would not see all fields
+
+
+def rejects(checked: DataFrame, sep: str = "|") -> DataFrame:
+    """(kind, line, the columns as far as they were read) of the lines of :func:`read_checked` that do not fit: ``short`` or ``long``."""
+    n = len(checked.columns) - 1
+    seen = F.size(F.split(F.col(BAD_LINE), f"\\Q{sep}\\E", -1))
+    return checked.filter(F.col(BAD_LINE).isNotNull()).select(F.when(seen < n, "short").otherwise("long").alias("kind"), F.col(BAD_LINE).alias("line"), *[c for c in checked.columns if c != BAD_LINE])
+
+
 def write_delimited(df: DataFrame, path: str, sep: str = "|", header: bool = True) -> str:
     """Write text with a header per part file; NULL is written as an empty field."""
     df.write.mode("overwrite").options(header=str(header).lower(), sep=sep).csv(path)
