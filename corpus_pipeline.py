@@ -61,6 +61,12 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the whole table: (doc_id, lang, source, n_tokens, ids, decoded_sha256).
+
+    Null and empty texts, and others whose language cannot be told, leave in the first stage; null ids, labels and sources
+    stay nulls; of repeated rows and near duplicates one document stays, ties to the smaller id; very long texts are
+    read whole; an empty table gives an empty result; columns other than these are ignored by the last stage.
+    """
     docs = documents(spark, sf_dir)
     for name, step in STAGES[:-1]:
         docs = stage(step(spark, docs, sf_dir), name)

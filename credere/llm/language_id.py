@@ -314,10 +314,15 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` without the rows whose language cannot be told; ``lang_col`` holds the language found.
 
     The declared language is ``lang_col`` itself, the host ``host_col``; documents have no address.
+    Only a row number, the evidence and the text go through Python; the verdict is joined to the
+    whole rows by that number. A null or empty text is rejected; null labels and hosts are no
+    evidence; repeated rows and ids are judged row by row; very long texts are read whole; other
+    columns come back as they are; an empty table gives an empty one.
     """
-    model = fit_text_model(docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
+    keyed = stage(docs.withColumn("__id_row", F.monotonically_increasing_id()), "identified")
+    model = fit_text_model(keyed.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     host = F.col(host_col).cast("string")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col(text_col).alias("text"),
-                       F.col(lang_col).alias("declared"), host.alias("host"), host.alias("domain"), F.lit("").alias("suffix"), F.lit(None).cast("string").alias("path"))
-    found = identify(rows, model).where("not rejected")
-    return found.select(*[F.col("lang").alias(c) if c == lang_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+    rows = keyed.select("__id_row", F.col(text_col).alias("text"), F.col(lang_col).alias("declared"), host.alias("host"), host.alias("domain"),
+                        F.lit("").alias("suffix"), F.lit(None).cast("string").alias("path"))
+    found = stage(identify(rows, model).where("not rejected").select("__id_row", F.col("lang").alias("__id_lang")), "identified_rows")
+    return keyed.join(found, "__id_row").select(*[F.col("__id_lang").alias(c) if c == lang_col else F.col(f"`{c}`") for c in docs.columns])

@@ -133,6 +133,12 @@ def test_twins(spark, name):
     assert sorted(df.columns) == cols and sorted(tuple(r[c] for c in cols) for r in df.collect()) == want
 
 
-def test_all_ten_are_registered():
+def test_all_are_registered():
     names = [n for n in entry.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11)) and set(ORACLE_SQL) <= set(entry.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14)) and set(ORACLE_SQL) <= set(entry.oracle_sql())
+
+
+def test_corpus_queries_state_their_awkward_cases():
+    for name, fn in [*QUERIES.items(), ("pipeline", corpus_pipeline.run)]:
+        doc = " ".join((fn.__doc__ or "").lower().split())
+        assert all(word in doc for word in ("null", "empty", "empty table", "ignored")) and ("very long" in doc or "any length" in doc), name
