@@ -215,7 +215,7 @@ def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             .agg(F.collect_list("h1").alias("h1"), F.collect_list("h2").alias("h2")))
 
 
-def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+def dedup_lines(docs: DataFrame, text_col: str = "text",
                 min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """``docs`` with the lines that at least ``min_docs`` documents hold dropped from ``text_col``.
 
@@ -223,11 +223,13 @@ def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     Each row is a document. A null or empty text is one empty line and comes back empty; lines with
     keys under ``min_chars`` code points always stay; a line repeated within a document counts once
     there, and all its copies go. A null or repeated id is allowed: whether a line goes depends on
-    the line alone. An empty table gives an empty table.
+    the line alone, and rows are told apart by a number of their own. Very long texts are cut whole;
+    other columns come back as they are. An empty table gives an empty table.
     """
-    verdict = common_lines(docs, id_col, text_col, min_docs, min_chars)
-    verdict = verdict.select(F.col("id").alias("__line_id"), F.col("h1").alias("__line_h1"), F.col("h2").alias("__line_h2"))
-    joined = (docs.join(verdict, docs[id_col].eqNullSafe(verdict["__line_id"]), "left").drop("__line_id"))
+    keyed = stage(docs.withColumn("__line_row", F.monotonically_increasing_id()), "line_rows")
+    verdict = common_lines(keyed, "__line_row", text_col, min_docs, min_chars)
+    verdict = verdict.select(F.col("id").alias("__line_row"), F.col("h1").alias("__line_h1"), F.col("h2").alias("__line_h2"))
+    joined = keyed.join(verdict, "__line_row", "left").drop("__line_row")
     schema = with_fields(docs, (text_col, T.StringType()), ("n_lines", T.LongType()), ("n_dropped", T.LongType()))
 
     def cut(batch: pa.RecordBatch, out: pa.Schema) -> pa.RecordBatch:

@@ -36,6 +36,26 @@ def test_hot_line_and_empty_table(spark):
     assert dedup_lines(frame(spark, [])).collect() == []
 
 
+def test_rows_without_ids_do_not_share_their_lines(spark, monkeypatch):
+    """Each row's list of dropped lines is its own, whether a third of the ids are null or all are alike."""
+    import credere.llm.line_dedup as L
+    sizes = []
+    real = L.common_lines
+
+    def watched(*args, **kw):
+        found = real(*args, **kw)
+        sizes.extend(r[0] for r in found.selectExpr("size(h1)").collect())
+        return found
+
+    monkeypatch.setattr(L, "common_lines", watched)
+    rows = [(None if i % 3 else i, "".join(f"shared {j}\n" for j in range(20)) + f"own {i}", "en", "s", 1) for i in range(90)]
+    rows += [(7, f"repeated id {i}\nshared 1", "en", "s", 1) for i in range(30)]
+    df = frame(spark, rows)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in dedup_lines(df).collect()), key=str)
+    assert got == brute(rows, 10, 1)
+    assert max(sizes) == 20
+
+
 def test_perfect_hash_is_minimal():
     import pyarrow as pa
     rng = np.random.default_rng(1)
