@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -142,3 +143,14 @@ def hot_join(rows: DataFrame, table: DataFrame, keys: list[str], weight: str, sh
     told = rows.join(hot, keys)
     rest = rows.join(hot.select(*keys), keys, "left_anti").join(table.where(F.col(weight) * share <= total), keys, "left")
     return told.unionByName(rest)
+
+
+def with_row_key(df: DataFrame, name: str) -> DataFrame:
+    """``df`` with ``name``, a key of its own for every row, the same each time the rows are read.
+
+    Rows of files are told apart by file and place in it; the rows of any other table are written first.
+    """
+    try:
+        return df.withColumn(name, F.struct(F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("at")))
+    except AnalysisException:
+        return with_row_key(stage(df, "rows"), name)

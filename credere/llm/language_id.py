@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, blocks_of, extend, map_rows, ship_package, stage, texts, with_fields
+from credere.llm.common import arrow_schema, blocks_of, extend, map_rows, ship_package, stage, texts, with_fields, with_row_key
 
 BUCKETS = 1 << 15
 LANG_BLOCK = 8         # languages scored at a time
@@ -314,12 +314,12 @@ def keep_identified(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """``docs`` without the rows whose language cannot be told; ``lang_col`` holds the language found.
 
     The declared language is ``lang_col`` itself, the host ``host_col``; documents have no address.
-    Only a row number, the evidence and the text go through Python; the verdict is joined to the
-    whole rows by that number. A null or empty text is rejected; null labels and hosts are no
+    Only a row key, the evidence and the text go through Python; the verdict is joined to the
+    whole rows by that key. A null or empty text is rejected; null labels and hosts are no
     evidence; repeated rows and ids are judged row by row; very long texts are read whole; other
     columns come back as they are; an empty table gives an empty one.
     """
-    keyed = stage(docs.withColumn("__id_row", F.monotonically_increasing_id()), "identified")
+    keyed = with_row_key(docs, "__id_row")
     model = fit_text_model(keyed.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")))
     host = F.col(host_col).cast("string")
     rows = keyed.select("__id_row", F.col(text_col).alias("text"), F.col(lang_col).alias("declared"), host.alias("host"), host.alias("domain"),

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from credere.llm.common import (arrow_schema, extend, hash_pairs, map_rows, mix, stage, texts,
-                                with_fields)
+                                with_fields, with_row_key)
 
 SHARD_KEYS = 1 << 18
 HOT_SHARE = 4096
@@ -216,17 +216,19 @@ def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def dedup_lines(docs: DataFrame, text_col: str = "text",
-                min_docs: int = 10, min_chars: int = 1) -> DataFrame:
-    """``docs`` with the lines that at least ``min_docs`` documents hold dropped from ``text_col``.
+                min_docs: int = 10, min_chars: int = 1, columns: list[str] | None = None) -> DataFrame:
+    """``docs`` (or some of its ``columns``) with the lines that at least ``min_docs`` documents hold dropped from ``text_col``.
 
     Adds ``n_lines`` (before dropping) and ``n_dropped``, replacing columns of these names.
     Each row is a document. A null or empty text is one empty line and comes back empty; lines with
     keys under ``min_chars`` code points always stay; a line repeated within a document counts once
     there, and all its copies go. A null or repeated id is allowed: whether a line goes depends on
-    the line alone, and rows are told apart by a number of their own. Very long texts are cut whole;
+    the line alone, and rows are told apart by a key of their own. Very long texts are cut whole;
     other columns come back as they are. An empty table gives an empty table.
     """
-    keyed = stage(docs.withColumn("__line_row", F.monotonically_increasing_id()), "line_rows")
+    keyed = with_row_key(docs, "__line_row")
+    if columns:
+        keyed, docs = keyed.select(*columns, "__line_row"), docs.select(*columns)
     verdict = common_lines(keyed, "__line_row", text_col, min_docs, min_chars)
     verdict = verdict.select(F.col("id").alias("__line_row"), F.col("h1").alias("__line_h1"), F.col("h2").alias("__line_h2"))
     joined = keyed.join(verdict, "__line_row", "left").drop("__line_row")
@@ -254,5 +256,5 @@ def dedup_lines(docs: DataFrame, text_col: str = "text",
 
 def line_report(docs: DataFrame, min_docs: int = 10, min_chars: int = 1) -> DataFrame:
     """(doc_id, n_lines, n_dropped, kept_sha256) of every document."""
-    kept = dedup_lines(docs.select("doc_id", "text"), min_docs=min_docs, min_chars=min_chars)
+    kept = dedup_lines(docs, min_docs=min_docs, min_chars=min_chars, columns=["doc_id", "text"])
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
