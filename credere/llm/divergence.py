@@ -38,6 +38,7 @@ SHARD_WEIGHT = 1 << 16  # terms of a shard, a long one counting for more
 SHARD_PROBES = 1 << 18  # counted terms that stream through a shard, on average
 BITS = 1 << 26          # of the filter, whatever the number of terms
 PENDING = 1 << 19       # counted terms kept in a task before they leave it
+KNOWN = 1 << 21         # counted ordinals kept in a task before they are summed, and leave it if they are many
 BLOCK_BYTES = 1 << 20
 CHUNK, TILE = 512, 128
 SCALE = 1_000_000_000
@@ -289,13 +290,13 @@ def recount(docs: DataFrame, kept: DataFrame) -> DataFrame:
         other: Counter = Counter()                         # (group, term)
         rows = 0
 
-        def told() -> Iterator[pa.RecordBatch]:
+        def told(ordinals: bool = True) -> Iterator[pa.RecordBatch]:
             names = [g[0] for g in groups]
             lang, source = (pa.array([g[i] for g in groups], pa.string()) for i in (0, 1))
             at = np.array([_hash(names[g], t) for g, t in other], np.uint64) & np.uint64(BITS - 1)
             pick = bits[(at >> np.uint64(6)).astype(np.int64)].view(np.uint64) >> (at & np.uint64(63)) & np.uint64(1)
             may = [k for k, one in zip(other, pick.tolist(), strict=True) if one]
-            if known:
+            if known and ordinals:
                 code, at = np.unique(np.concatenate([k for k, _ in known]), return_inverse=True)
                 n = np.bincount(at, np.concatenate([c for _, c in known]).astype(float)).astype(np.int64)
                 own = pa.array(code >> 40)
@@ -316,9 +317,18 @@ def recount(docs: DataFrame, kept: DataFrame) -> DataFrame:
             whole = flat.astype(np.uint8).tobytes()
             other.update((g, whole[a:a + s]) for g, a, s in zip(group[doc[~hit]].tolist(), start[~hit].tolist(), length[~hit].tolist(), strict=True))
             rows += len(code)
-            if rows + len(other) > PENDING or len(groups) > PENDING:
+            full = False
+            if rows > KNOWN:   # summed in the task first: most groups meet the same terms again
+                code, at = np.unique(np.concatenate([k for k, _ in known]), return_inverse=True)
+                known = [(code, np.bincount(at, np.concatenate([c for _, c in known]).astype(float)).astype(np.int64))]
+                rows = len(code)
+                full = rows > KNOWN // 2
+            if full or len(groups) > PENDING:
                 yield from told()
                 groups, known, other, rows = {}, [], Counter(), 0
+            elif len(other) > PENDING:
+                yield from told(ordinals=False)
+                other = Counter()
         yield from told()
 
     raw = stage(docs.mapInArrow(run, schema), "term_counts")

@@ -49,7 +49,7 @@ def test_audit_equals_brute_force(spark):
 
 def test_audit_through_shards_and_tiles(spark, monkeypatch):
     """All terms past the frequent transducer, several shards, several tiles of sources and chunks of terms, small task buffers."""
-    for name, value in (("FREQUENT", 4), ("SHARD_WEIGHT", 64), ("TILE", 2), ("CHUNK", 16), ("PENDING", 50), ("BITS", 1 << 10)):
+    for name, value in (("FREQUENT", 4), ("SHARD_WEIGHT", 64), ("TILE", 2), ("CHUNK", 16), ("PENDING", 50), ("KNOWN", 60), ("BITS", 1 << 10)):
         monkeypatch.setattr(D, name, value)
     rng = random.Random(5)
     rows = [(i, prose(rng, 60), rng.choice(["en", "de"]), rng.choice(["a", "b", "c", "d", "e", "é", "f", None]), None) for i in range(60)]
