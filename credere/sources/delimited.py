@@ -32,7 +32,8 @@ BAD_LINE = "_bad_line"
 def read_checked(spark: SparkSession, path: str, columns: Iterable[str], sep: str = "|", header: bool = True) -> DataFrame:
     """S1 with a quarantine: the declared columns as text, and ``_bad_line`` with the whole line where it has too
     few or too many fields (NULL for a good one). With a header, a file whose names or order differ from
-    ``columns`` is an error instead of a table with swapped columns. Lines are parsed whole, whichever columns are read."""
+    ``columns`` is an error instead of a table with swapped columns. Lines are parsed whole, whichever columns are read;
+    Spark refuses queries that read ``_bad_line`` alone (a bare count of bad lines), so read a column beside it."""
     fields = [*all_string_schema(columns).fields, T.StructField(BAD_LINE, T.StringType())]
     return (spark.read.schema(T.StructType(fields)).options(
         header=str(header).lower(), sep=sep, mode="PERMISSIVE", columnNameOfCorruptRecord=BAD_LINE, enforceSchema=str(not header).lower(),
