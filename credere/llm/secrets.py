@@ -3,8 +3,9 @@
 Method: candidate strings of each character class are scanned with a sliding window. The window's
 Shannon entropy comes from incremental counts: a step adds one character and drops one, and only
 their two terms of the sum of c log2 c change. Windows over the class's threshold merge into
-spans; candidates on the allow list are suppressed. Only DataFrame functions run here, row by
-row: nothing is shuffled.
+spans; windows that overlap a match of the allow list are suppressed, for a candidate is cut at
+such matches and its pieces are scanned. Only DataFrame functions run here, row by row: nothing is
+shuffled.
 
 Spark has no function for match positions. A text split at its matches alternates between the
 parts and the matches, so the running sum of their lengths gives every start in code points.
@@ -42,7 +43,7 @@ class CharClass:
 #: Windows of 20: a random base-64 string reaches about 4.0 bits, prose of any language stays near 3.3.
 CLASSES = (CharClass("base64", r"[A-Za-z0-9+/_=-]{20,}", 20, 3.9), CharClass("hexadecimal", r"[0-9A-Fa-f]{20,}", 20, 3.1))
 
-#: Candidates that are known not to be secrets: placeholders, UUIDs, plain digits, one path or dashed phrase.
+#: Parts of candidates that are known not to be secrets: placeholder words, and candidates that are UUIDs or digits as a whole.
 ALLOW = (r"(?i)example|sample|placeholder|changeme|dummy", r"^[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}$", r"^[0-9+/_=-]+$")
 
 
@@ -126,23 +127,32 @@ def _scan(codes: Column, letters: Column, kind: CharClass) -> Column:
     return F.aggregate(steps, zero, step, lambda state: F.when(state["a"] >= 0, closed(state)).otherwise(state["out"]))
 
 
+def _pieces(candidate: Column, allow: Sequence[str]) -> Column:
+    """(at, piece) of what lies before, between and after the allow-listed matches in a candidate."""
+    if not allow:
+        return F.array(F.struct(F.lit(0).cast("long").alias("at"), candidate.alias("piece")))
+    known = "|".join(f"(?:{p})" for p in allow)
+
+    def cut(hits: Column) -> Column:
+        ends = F.zip_with(match_starts(candidate, known, hits), hits, lambda at, h: at + F.length(h))
+        return F.zip_with(F.concat(F.array(F.lit(0).cast("long")), ends), F.split(candidate, known, -1),
+                          lambda at, piece: F.struct(at.alias("at"), piece.alias("piece")))
+
+    return _let(F.regexp_extract_all(candidate, F.lit(known), F.lit(0)), cut)
+
+
 def entropy_spans(text: Column, kind: CharClass, allow: Sequence[str]) -> Column:
     def spans(found: Column) -> Column:
         both = F.zip_with(match_starts(text, kind.pattern, found), found, lambda at, c: F.struct(at.alias("at"), c.alias("c")))
-        told = F.filter(both, lambda m: ~_any(m["c"], allow))
-        each = F.transform(told, lambda m: F.transform(high_entropy(m["c"], kind), lambda s: _span(m["at"] + s["a"], 3, m["at"] + s["b"])))
+        pieces = F.flatten(F.transform(both, lambda m: F.transform(
+            _pieces(m["c"], allow), lambda p: F.struct((m["at"] + p["at"]).alias("at"), p["piece"].alias("c")))))
+        long = F.filter(pieces, lambda p: F.length(p["c"]) >= kind.window)
+        each = F.transform(long, lambda p: F.transform(high_entropy(p["c"], kind), lambda s: _span(p["at"] + s["a"], 3, p["at"] + s["b"])))
         return F.when(F.size(found) > 0, F.flatten(each)).otherwise(_none())
 
     return _let(F.regexp_extract_all(text, F.lit(kind.pattern), F.lit(0)), spans)
 
 
-def _any(text: Column, patterns: Sequence[str]) -> Column:
-    out = F.lit(False)
-    for p in patterns:
-        out = out | text.rlike(p)
-    return out
-
-
 def _joined(spans: Column) -> Column:
     names = F.array(*[F.lit(k) for k in KINDS])
     return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", F.get(names, s["kind"]), s["start"].cast("string"), s["end"].cast("string"))))
@@ -153,7 +163,8 @@ def secret_spans(docs: DataFrame, text_col: str = "text", classes: Sequence[Char
     """``docs`` with ``base`` and ``added``: arrays of (start, kind, end) in code points, by start.
 
     ``base`` holds the pattern matches, whole; ``added`` the high-entropy spans that no base span
-    covers (kind 3; a span that two classes find is one). A null or empty text has none. Columns of these names are replaced; repeated
+    covers (kind 3; a span that two classes find is one). Matches of ``allow`` hide the windows that
+    overlap them, never the rest of a candidate. A null or empty text has none. Columns of these names are replaced; repeated
     rows are scanned alike.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
