@@ -8,7 +8,8 @@ A dialogue is rendered in parts of ``PART_TURNS`` turn numbers, cut again after
 turns where numbers repeat or are missing, so that a dialogue of any length is never gathered into
 one row or task. Positions come from one range-partitioned sort of all turns, written once; a part
 spanning two of its partitions is counted through their sizes. Parts are grouped and rendered on
-their own, and only their lengths are summed along the dialogue. Only DataFrame functions run here.
+their own, and only their lengths are summed along the dialogue. A turn that belongs to no dialogue
+is rendered where it is read, without a shuffle. Only DataFrame functions run here.
 """
 
 from __future__ import annotations
@@ -36,10 +37,10 @@ def _segments(turns: Column, speaker: Column) -> Column:
 
 
 def _placed(said: DataFrame) -> DataFrame:
-    """Turns by ``conv`` (conv_id as a struct, so never null), ``block`` (of turn numbers) and ``cut`` (of positions in the block), with the text's length."""
+    """Turns by ``conv``, ``block`` (of turn numbers) and ``cut`` (of positions in the block), with the text's length."""
     block = F.coalesce(F.floor(F.col("turn") / PART_TURNS), F.lit(UNTIMED))
     order = [F.col("conv"), F.col("turn").asc_nulls_last(), F.col("role"), F.col("text")]
-    at = stage(_tag_partitions(said.select(F.struct("conv_id").alias("conv"), block.alias("block"), "turn", "role", "text", F.length("text").alias("chars")).orderBy(*order)), "turns")
+    at = stage(_tag_partitions(said.select(F.col("conv_id").alias("conv"), block.alias("block"), "turn", "role", "text", F.length("text").alias("chars")).orderBy(*order)), "turns")
     here = at.groupBy("conv", "block", "_pid").agg(F.count("*").alias("n"), F.min("_mid").alias("first"))  # a block is one run of each partition
     before = Window.partitionBy("conv", "block").orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # a row a partition at most
     here = here.select("conv", "block", "_pid", "first", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("skip"))
@@ -53,15 +54,18 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     ``start`` is where the part's text begins in the whole rendering; ``mask`` lists the trained
     ranges as ``start:end`` in code points of the whole rendering, comma-joined, end exclusive.
-    Turns go by number, then role, then text; rows repeated in all four columns are one turn. A null
-    text is empty, a null or empty role is ``unknown``; turns without a number come last. A null conv_id is a dialogue of its own. A dialogue of system turns alone has
-    no participants and so no row; an empty table gives an empty result. Other columns are ignored.
+    Turns go by number, then role, then text; rows repeated in all four columns are one turn. Turns
+    without a number come last and are never merged: what is said twice is there twice. A null
+    text is empty, a null or empty role is ``unknown``. Rows without a conv_id have nothing to do with
+    each other: each is a dialogue of its own, of one turn. A dialogue of system turns alone has
+    no participants and so no row; an empty table gives an empty result. Very long dialogues come in parts, a very long text in one. Other columns are ignored.
     """
     named = F.when(F.coalesce(F.col(role_col), F.lit("")) == "", F.lit(UNKNOWN)).otherwise(F.col(role_col))
-    said = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), named.alias("role"),
-                        F.coalesce(F.col(text_col), F.lit("")).alias("text")).distinct()
-    placed = _placed(said)
-    speakers = turns.select(F.struct(F.col(conv_col).alias("conv_id")).alias("conv"), named.alias("speaker")).where(F.col("speaker") != SYSTEM).distinct()
+    every = turns.select(F.col(conv_col).alias("conv_id"), F.col(turn_col).cast("long").alias("turn"), named.alias("role"),
+                         F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    said = every.where(F.col("conv_id").isNotNull())
+    placed = _placed(said.where(F.col("turn").isNotNull()).distinct().unionByName(said.where(F.col("turn").isNull())))
+    speakers = said.where(F.col("role") != SYSTEM).select(F.col("conv_id").alias("conv"), F.col("role").alias("speaker")).distinct()
     # a turn in another's view; in the speaker's own its tag is "assistant"
     other = F.when(F.col("role") == SYSTEM, F.lit(len(SYSTEM))).otherwise(F.length("role") + len("user name="))
     sizes = placed.groupBy("conv", "block", "cut").agg(
@@ -75,7 +79,7 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
     views = views.withColumn("start", before).withColumn("part", F.row_number().over(along).cast("long") - 1)
     parts = placed.groupBy("conv", "block", "cut").agg(F.array_sort(F.collect_list(F.struct("turn", "role", "text"))).alias("turns"))
     rendered = (parts.join(views, ["conv", "block", "cut"])
-                .select("conv.conv_id", "speaker", "part", "n_turns", "start", _segments(F.col("turns"), F.col("speaker")).alias("seg"))
+                .select(F.col("conv").alias("conv_id"), "speaker", "part", "n_turns", "start", _segments(F.col("turns"), F.col("speaker")).alias("seg"))
                 .select("conv_id", "speaker", "part", "n_turns", "start",
                         F.array_join(F.transform("seg", lambda s: F.concat(s["head"], s["body"])), "").alias("text"),
                         F.transform("seg", lambda s: F.struct(F.length(s["head"]).alias("head"), F.length(s["body"]).alias("body"), s["own"].alias("own"))).alias("lens")))
@@ -89,4 +93,14 @@ def rotate(turns: DataFrame, conv_col: str = "conv_id", turn_col: str = "turn",
 
     # the newline after the end tag is layout, not speech: hence b - 1
     mask = F.aggregate("lens", state, step, lambda s: F.array_join(s["out"], ","))
-    return rendered.select("conv_id", "speaker", "part", "n_turns", "start", "text", mask.alias("mask"))
+    told = rendered.select("conv_id", "speaker", "part", "n_turns", "start", "text", mask.alias("mask"))
+    return told.unionByName(_alone(every.where(F.col("conv_id").isNull() & (F.col("role") != SYSTEM))))
+
+
+def _alone(turns: DataFrame) -> DataFrame:
+    """Turns that are dialogues of their own, each as its speaker sees it."""
+    head = f"{OPEN}assistant\n"
+    end = F.length("text") + len(head) + len(CLOSE) - 1
+    return turns.select("conv_id", F.col("role").alias("speaker"), F.lit(0).cast("long").alias("part"), F.lit(1).cast("long").alias("n_turns"),
+                        F.lit(0).cast("long").alias("start"), F.concat(F.lit(head), "text", F.lit(CLOSE)).alias("text"),
+                        F.concat_ws(":", F.lit(str(len(head))), end.cast("string")).alias("mask"))

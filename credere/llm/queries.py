@@ -58,9 +58,9 @@ def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_chat_perspectives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every dialogue as each of its speakers sees it, in parts: (conv_id, speaker, part, n_turns, start, text, mask).
 
-    Nulls count as empty texts, unknown roles, last turns and a dialogue of their own; equal turn numbers go by
-    role and text; dialogues of any length come in parts; an empty table gives an empty result;
-    further columns are ignored.
+    Nulls count as empty texts, unknown roles and last turns; a row without a conv_id is a dialogue of its own; equal
+    turn numbers go by role and text; rows repeated with their turn number are one turn; dialogues of any length come
+    in parts; an empty table gives an empty result; further columns are ignored.
     """
     return rotate(documents(spark, sf_dir, "conversations"))
 
@@ -191,7 +191,8 @@ kept as (select word.doc_id, count(gone.p) as n_removed, string_agg(x, ' ' order
 select doc.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_removed, 0) as n_removed, sha256(coalesce(t, '')) as kept_sha256
 from doc left join kept on doc.doc_id = kept.doc_id""",
     "op4_chat_perspectives": """
-with said as (select distinct conv_id, turn, case when coalesce(role, '') = '' then 'unknown' else role end as role, coalesce(text, '') as text from conversations),
+with every as (select conv_id, turn, case when coalesce(role, '') = '' then 'unknown' else role end as role, coalesce(text, '') as text from conversations),
+said as (select distinct * from every where conv_id is not null and turn is not null union all select * from every where conv_id is not null and turn is null),
 speaker as (select distinct conv_id, role as speaker from said where role <> 'system'),
 seg as (select s.conv_id, p.speaker, s.turn // 64 as block, s.turn, s.role, s.text, s.role = p.speaker as own,
                '<|im_start|>' || case when s.role = 'system' then 'system' when s.role = p.speaker then 'assistant' else 'user name=' || s.role end || chr(10) as head,
@@ -201,7 +202,10 @@ placed as (select *, coalesce(sum(length(head) + length(body)) over (partition b
 part as (select conv_id, speaker, block, count(*) as n_turns, cast(min(a) as bigint) as start, string_agg(head || body, '' order by turn, role, text) as text,
                 coalesce(string_agg((a + length(head)) || ':' || (a + length(head) + length(body) - 1), ',' order by a) filter (where own), '') as mask
          from placed group by all)
-select conv_id, speaker, row_number() over (partition by conv_id, speaker order by block) - 1 as part, n_turns, start, text, mask from part""",
+select conv_id, speaker, row_number() over (partition by conv_id, speaker order by block) - 1 as part, n_turns, start, text, mask from part
+union all
+select conv_id, role, 0, 1, 0, '<|im_start|>assistant' || chr(10) || text || '<|im_end|>' || chr(10), '22:' || (32 + length(text))
+from every where conv_id is null and role <> 'system'""",
     "op9_exact_dedup": r"""
 with n as (select doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') as t from documents),
 g as (select t, min(doc_id) as keep_id, count(*) as group_size from n group by t)

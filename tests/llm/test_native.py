@@ -19,13 +19,14 @@ def no_python(df):
 # ---------------------------------------------------------------- chat
 
 def render(rows):
-    said = {(c, t, r or "unknown", x or "") for c, t, r, x in rows}
+    every = [(c, t, r or "unknown", x or "") for c, t, r, x in rows if c is not None]
+    said = sorted({x for x in every if x[1] is not None}) + [x for x in every if x[1] is None]
     convs = defaultdict(list)
     for c, t, r, x in said:
         convs[c].append((t, r, x))
     out = {}
     for c, turns in convs.items():
-        turns.sort(key=lambda t: (t[0], t[1], t[2]))
+        turns.sort(key=lambda t: (t[0] is None, t[0] or 0, t[1], t[2]))
         for speaker in {r for _, r, _ in turns} - {"system"}:
             text, mask = "", []
             for _, r, x in turns:
@@ -38,9 +39,21 @@ def render(rows):
     return out
 
 
+def alone(rows):
+    """(speaker, text, mask) of the turns that belong to no dialogue."""
+    heads = [(r or "unknown", "<|im_start|>assistant\n", x or "") for c, _, r, x in rows if c is None and r != "system"]
+    return Counter((r, f"{h}{x}<|im_end|>\n", f"{len(h)}:{len(h + x + '<|im_end|>')}") for r, h, x in heads)
+
+
+def singles(df):
+    rows = df.where("conv_id is null").collect()
+    assert all((r.part, r.n_turns, r.start) == (0, 1, 0) for r in rows)
+    return Counter((r.speaker, r.text, r.mask) for r in rows)
+
+
 def whole(df):
     parts = defaultdict(list)
-    for r in df.collect():
+    for r in df.where("conv_id is not null").collect():
         parts[r.conv_id, r.speaker].append(r)
     out = {}
     for k, rs in parts.items():
@@ -56,15 +69,29 @@ CONV = "conv_id long, turn long, role string, text string, part string, speaker
 
 def test_every_perspective(spark):
     rows = [(1, 0, "system", "Be kind"), (1, 1, "ana", "Hé 😀"), (1, 2, "bo", "x\ny"), (1, 3, "ana", None), (1, 3, "ana", None), (1, 3, "ana", "tie"), (1, 4, None, "who"), (1, 5, "", "ghost"),
-            (2, 0, "system", "alone"), (3, -1, "u", ""), (None, 0, "u", "no id"), (None, 1, "v", "still none")]
+            (2, 0, "system", "alone"), (3, -1, "u", ""), (None, 0, "u", "no id"), (None, 1, "v", "still none"), (None, 1, "v", "still none"), (None, None, None, None), (None, 2, "system", "no speaker")]
     rows += [(9, t, ["u", "v", "w"][t % 3], f"turn {t} " + "z" * (t % 7)) for t in range(300)]
     df = spark.createDataFrame([(*r, "x", "y") for r in rows], CONV).repartition(4)
     got = chat.rotate(df)
     no_python(got)
-    assert whole(got) == render(rows)
+    assert whole(got) == render(rows) and singles(got) == alone(rows)
     assert max(r.n_turns for r in got.collect()) <= chat.PART_TURNS
 
 
+def test_rows_without_dialogue_grow_with_their_number(spark):
+    rows = [(None, t, f"u{t}", f"turn {t}") for t in range(400)]
+    got = chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], CONV))
+    assert singles(got) == alone(rows) and sum(len(r.text) for r in got.collect()) < 400 * 50
+
+
+def test_unnumbered_turns_that_say_the_same_all_stay(spark):
+    rows = [(1, 0, "a", "go?")] + [(1, None, "b", "ok")] * 70 + [(1, None, "a", "ok")] * 2 + [(2, 3, "a", "ok")] * 3
+    got = chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], CONV).repartition(3))
+    assert whole(got) == render(rows)
+    assert got.where("conv_id = 1 and speaker = 'b'").groupBy().sum("n_turns").first()[0] == 73
+    assert got.where("conv_id = 2").groupBy().sum("n_turns").first()[0] == 1
+
+
 def test_turns_without_number_come_last_and_nothing_is_lost(spark):
     rows = [(1, 5, "a", "first")] + [(1, None, "b", f"late {i}") for i in range(50)]
     got = whole(chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], CONV)))
@@ -78,7 +105,7 @@ def test_repeated_turn_numbers_are_cut_by_position(spark):
     rows += [(None, t, f"u{t % 3}", f"{t} {i}") for t in range(5) for i in range(60)] + [(2, 0, "a", "alone"), (3, 70, "c", "late start")]
     got = chat.rotate(spark.createDataFrame([(*r, "x", "y") for r in rows], CONV).repartition(5))
     no_python(got)
-    assert whole(got) == render(rows)
+    assert whole(got) == render(rows) and singles(got) == alone(rows)
     parts = got.collect()
     assert max(r.n_turns for r in parts) <= chat.PART_TURNS
     untimed = [(1, None, "ab"[i % 2], f"tie {i}") for i in range(500)]
