@@ -12,6 +12,8 @@ least 13 words, which are cut from the later document.
 * A seed that more than 1/8192 of the rows still share (the edges of a passage that many documents
   hold, or a few words over and over) is dealt by window instead of by seed, once for each document
   and window; fewer than 8,192 such seeds exist at any size, and only they are broadcast.
+* Rows without an id are told apart by a hash of their text, so that none is handed the repeats of all
+  others; rows of equal text share their repeats, each once.
 * Texts are packed before the one join that brings the repeats home.
 """
 
@@ -26,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, extend, map_rows, mix, ngram_hashes, stage, texts, with_fields, word_hashes
+from credere.llm.common import arrow_schema, extend, map_rows, mix, ngram_hashes, ship_package, stage, texts, with_fields, word_hashes
 
 WINDOW = 13
 SEED = 5
@@ -34,9 +36,10 @@ BLOCK_WORDS = 1 << 20
 HOT_SHARE = 8192
 PRINT = 5  # bytes of a window's hash that travel with its seed
 LAST = (1 << 63) - 1
+MARK = 32  # a row's mark sits above this bit of the places in its text
 
 SEEDS = T.StructType([T.StructField("seed", T.LongType()), T.StructField("sub", T.IntegerType()),
-                      T.StructField("id", T.LongType()), T.StructField("start", T.IntegerType()),
+                      T.StructField("id", T.LongType()), T.StructField("start", T.LongType()),
                       T.StructField("prints", T.BinaryType())])
 REPEATS = T.StructType([T.StructField("id", T.LongType()), T.StructField("start", T.LongType()),
                         T.StructField("n", T.LongType()), T.StructField("check", T.LongType())])
@@ -58,7 +61,7 @@ def prints_of(hashes: np.ndarray) -> np.ndarray:
 class Windows:
     """Windows of a block of documents, in runs of neighbours that share a seed."""
 
-    def __init__(self, ids: np.ndarray, words: list[list[bytes]], window: int, seed: int):
+    def __init__(self, ids: np.ndarray, words: list[list[bytes]], window: int, seed: int, marks: np.ndarray | None = None):
         size = np.array([len(w) for w in words], np.int64)
         flat = word_hashes([x for w in words for x in w])
         ends = np.cumsum(size)
@@ -80,6 +83,7 @@ class Windows:
         self.seed = mix(smallest[self.run]).view(np.int64)
         doc = owner[self.run]
         self.id = ids[doc]
+        self.mark = np.zeros(len(doc), np.int64) if marks is None else marks[doc] << MARK
         self.start = at[self.run] - self.first[doc]
 
     def split_local(self) -> tuple[np.ndarray, np.ndarray]:
@@ -102,14 +106,15 @@ def _expand(runs: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(runs, sizes) + np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
 
 
-def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, list[list[bytes]]]]:
-    ids, raw = batch.column("id").to_numpy(zero_copy_only=False), texts(batch.column("text"))
+def _blocks(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, list[list[bytes]]]]:
+    ids, marks = (batch.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("id", "mark"))
+    raw = texts(batch.column("text"))
     first, words, size = 0, [], 0
     for i, text in enumerate(raw):
         words.append(text.split())
         size += len(words[-1])
         if size >= BLOCK_WORDS or i == len(raw) - 1:
-            yield ids[first:i + 1], words
+            yield ids[first:i + 1], marks[first:i + 1], words
             first, words, size = i + 1, [], 0
 
 
@@ -124,39 +129,39 @@ def seed_rows(docs: DataFrame, hot: np.ndarray, window: int, seed: int) -> DataF
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, words in _blocks(batch):
-                w = Windows(ids, words, window, seed)
+            for ids, marks, words in _blocks(batch):
+                w = Windows(ids, words, window, seed, marks)
                 send, settled = w.split_local()
                 is_hot = np.isin(w.seed[send], hot)
                 cold, warm = send[~is_hot], send[is_hot]
                 raw = w.hash.view(np.uint8).reshape(-1, 8)
                 # cold: one row a run
                 own = _expand(w.run[cold], w.size[cold])
-                parts = [(w.seed[cold], np.zeros(len(cold)), w.id[cold], w.start[cold],
+                parts = [(w.seed[cold], np.zeros(len(cold)), w.id[cold], w.mark[cold] + w.start[cold],
                           _binary(raw[own, 8 - PRINT:], PRINT * w.size[cold]))]
                 # hot: one row a window of the smallest document that holds it here; the rest of its hash picks the task
                 own = _expand(w.run[warm], w.size[warm])
-                doc, full = np.repeat(w.id[warm], w.size[warm]), w.hash[own]
-                order = np.lexsort((doc, full))
-                doc, full = doc[order], full[order]
-                new = np.ones(len(order), bool)
+                doc, mark, full = np.repeat(w.id[warm], w.size[warm]), np.repeat(w.mark[warm], w.size[warm]), w.hash[own]
+                order = np.lexsort((mark, doc, full))
+                doc, mark, full = doc[order], mark[order], full[order]
+                new, once = np.ones(len(order), bool), np.ones(len(order), bool)
                 new[1:] = full[1:] != full[:-1]
-                once = new.copy()
-                once[1:] |= doc[1:] != doc[:-1]
-                raw = full[new].view(np.uint8).reshape(-1, 8)
-                parts.append((np.repeat(w.seed[warm], w.size[warm])[order][new], (full[new] & np.uint64(0xFFFFFF)).astype(np.int64) + 1, doc[new],
-                              np.zeros(int(new.sum())), _binary(raw[:, 8 - PRINT:], np.full(int(new.sum()), PRINT))))
-                later = once & ~new & (doc > doc[new][np.cumsum(new) - 1] if len(doc) else once)
+                once[1:] = new[1:] | (doc[1:] != doc[:-1]) | (mark[1:] != mark[:-1])
+                least = doc[new][np.cumsum(new) - 1]
+                here, later = once & (doc == least), once & (doc > least)
+                raw = full[here].view(np.uint8).reshape(-1, 8)
+                parts.append((np.repeat(w.seed[warm], w.size[warm])[order][here], (full[here] & np.uint64(0xFFFFFF)).astype(np.int64) + 1, doc[here],
+                              mark[here], _binary(raw[:, 8 - PRINT:], np.full(int(here.sum()), PRINT))))
                 told = np.stack([prints_of(full[later]).astype(np.int64), np.zeros(int(later.sum()), np.int64)], 1)
-                parts.append((mix(full[later] ^ doc[later].view(np.uint64)).view(np.int64), np.full(len(told), -1), doc[later], np.zeros(len(told)),
+                parts.append((mix(full[later] ^ doc[later].view(np.uint64)).view(np.int64), np.full(len(told), -1), doc[later], mark[later],
                               _binary(told.view(np.uint8).reshape(-1), np.full(len(told), 16))))
                 if len(settled):
                     check = np.add.reduceat(prints_of(w.hash[_expand(w.run[settled], w.size[settled])]), np.cumsum(w.size[settled]) - w.size[settled])
                     told = np.stack([check.astype(np.int64), w.size[settled].astype(np.int64)], 1)
                     key = mix((w.id[settled] + 1).view(np.uint64) * np.uint64(31) + w.start[settled].astype(np.uint64)).view(np.int64)
-                    parts.append((key, np.full(len(settled), -1), w.id[settled], w.start[settled], _binary(told.view(np.uint8).reshape(-1), np.full(len(settled), 16))))
+                    parts.append((key, np.full(len(settled), -1), w.id[settled], w.mark[settled] + w.start[settled], _binary(told.view(np.uint8).reshape(-1), np.full(len(settled), 16))))
                 for s, sub, i, start, prints in parts:
-                    yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(sub.astype(np.int32)), pa.array(i), pa.array(start.astype(np.int32)), prints], schema=out)
+                    yield pa.RecordBatch.from_arrays([pa.array(s), pa.array(sub.astype(np.int32)), pa.array(i), pa.array(start.astype(np.int64)), prints], schema=out)
 
     return docs.mapInArrow(run, SEEDS)
 
@@ -168,8 +173,8 @@ def hot_seeds(docs: DataFrame, window: int, seed: int) -> np.ndarray:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for ids, words in _blocks(batch):
-                w = Windows(ids, words, window, seed)
+            for ids, marks, words in _blocks(batch):
+                w = Windows(ids, words, window, seed, marks)
                 seeds, n = np.unique(w.seed[w.split_local()[0]], return_counts=True)
                 total = int(n.sum())
                 often = n * HOT_SHARE > max(total, HOT_SHARE)  # at least two
@@ -243,8 +248,10 @@ class Repeats:
 
 
 def repeats(docs: DataFrame, window: int = WINDOW, seed: int = SEED) -> DataFrame:
-    """(id, start, n, check) over (id, text): runs of ``n`` windows from word ``start`` that a smaller id
-    holds, ``check`` the sum of their prints; with n = 0, every window of the print ``check``."""
+    """(id, start, n, check) over (id, mark, text): runs of ``n`` windows from word ``start`` that a smaller id
+    holds, ``check`` the sum of their prints; with n = 0, every window of the print ``check``. ``start`` has
+    the row's mark, under 2^31, above bit MARK."""
+    ship_package(docs.sparkSession)
     hot = hot_seeds(docs, window, seed)
     dealt = seed_rows(docs, hot, window, seed).repartition("seed", "sub").sortWithinPartitions("seed", "sub", "id")
     out = arrow_schema(REPEATS)
@@ -264,15 +271,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     Ids are integers; a null id counts as larger than all others. Rows that share an id are one
     document: they never remove each other's words, and each loses what a smaller id holds. Null,
-    empty and short texts have no windows. A passage repeated within one document alone stays. An
-    empty table gives an empty table.
+    empty and short texts have no windows. A passage repeated within one document alone stays. A very
+    long text is read whole. An empty table gives an empty table.
     """
     key = F.coalesce(F.col(id_col).cast("long"), F.lit(LAST))
-    found = repeats(docs.select(key.alias("id"), F.col(text_col).alias("text")), window, seed)
-    found = found.groupBy("id").agg(F.collect_list(F.struct("start", "n", "check")).alias("__repeats")).withColumnRenamed("id", "__repeat_id")
-    packed = map_rows(docs, with_fields(docs, (text_col, T.BinaryType())), lambda batch, out: extend(
+    mark = F.when(F.col(id_col).isNull(), F.xxhash64(text_col).bitwiseAND(0x7FFFFFFF)).otherwise(F.lit(0))
+    found = repeats(docs.select(key.alias("id"), mark.alias("mark"), F.col(text_col).alias("text")), window, seed)
+    place = F.col("start").bitwiseAND((1 << MARK) - 1).alias("start")
+    found = (found.groupBy(F.col("id").alias("__repeat_id"), F.shiftright("start", MARK).alias("__repeat_mark"))
+             .agg(F.collect_set(F.struct(place, "n", "check")).alias("__repeats")))
+    marked = docs.withColumn("__mark", mark.cast("long"))
+    packed = map_rows(marked, with_fields(marked, (text_col, T.BinaryType())), lambda batch, out: extend(
         batch, out, **{text_col: [None if t is None else zstandard.compress(t) for t in batch.column(text_col).cast(pa.binary()).to_pylist()]}))
-    joined = packed.join(found, key == found["__repeat_id"], "left").drop("__repeat_id")
+    joined = packed.join(found, (key == found["__repeat_id"]) & (F.col("__mark") == found["__repeat_mark"]), "left")
+    joined = joined.drop("__repeat_id", "__repeat_mark", "__mark")
     spans = T.ArrayType(T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType())]))
     schema = with_fields(docs, ("kept_text", T.StringType()), ("n_words", T.LongType()), ("n_removed", T.LongType()), ("spans", spans))
 
