@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, map_rows, stage, texts, with_fields
+from credere.llm.common import arrow_schema, map_rows, ship_package, stage, texts, with_fields
 
 FOLDS, HELD_FOLD = 7, 2
 ALPHA = 1
@@ -179,6 +179,7 @@ class Lattice:
 
 def word_counts(docs: DataFrame) -> DataFrame:
     """(word, c): every word of (held, text) with its number in documents that are not held out; END counts those documents."""
+    ship_package(docs.sparkSession)
     schema = T.StructType([T.StructField("word", T.BinaryType()), T.StructField("c", T.LongType())])
     out = arrow_schema(schema)
 
