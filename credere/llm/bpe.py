@@ -30,6 +30,7 @@ CACHE = 200_000
 LONGEST_KEPT = 64
 WIDEST = 64
 BLOCK = 4096
+TEXT_BYTES = 1 << 20  # texts cut into chunks at a time
 
 # Fixed values of the vocabulary file's format: the white space of its normaliser (Unicode White_Space).
 WHITE = "\\t\\n\\x0b\\x0c\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -279,7 +280,7 @@ def bpe_round_trip(docs: DataFrame, path: str, text_col: str = "text") -> DataFr
         bpe, ids = _coded(batch, path, text_col)
         return extend(batch, out, ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded=[bpe.decode(x) for x in ids])
 
-    return map_rows(docs, schema, run, text_col)
+    return map_rows(docs, schema, run, text_col, TEXT_BYTES)
 
 
 def bpe_encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
@@ -291,7 +292,7 @@ def bpe_encode(docs: DataFrame, path: str, text_col: str = "text") -> DataFrame:
         bpe, ids = _coded(batch, path, text_col)
         return extend(batch, out, ids=ids, n_tokens=[len(x) // 4 for x in ids], decoded_sha256=_sha256(bpe.decode(x).encode() for x in ids))
 
-    return map_rows(docs, schema, run, text_col)
+    return map_rows(docs, schema, run, text_col, TEXT_BYTES)
 
 
 def bpe_report(docs: DataFrame, path: str) -> DataFrame:
@@ -305,4 +306,4 @@ def bpe_report(docs: DataFrame, path: str) -> DataFrame:
         bpe, ids = _coded(batch, path, "text")
         return extend(batch, out, n_tokens=[len(x) // 4 for x in ids], ids_sha256=_sha256(ids), decoded_sha256=_sha256(bpe.decode(x).encode() for x in ids))
 
-    return map_rows(docs, schema, run, "text")
+    return map_rows(docs, schema, run, "text", TEXT_BYTES)

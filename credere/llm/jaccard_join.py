@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, extend, map_rows, mix, ngram_hashes, ship_package, stage, texts, with_fields, word_hashes
+from credere.llm.common import arrow_schema, extend, lean, map_rows, mix, ngram_hashes, ship_package, stage, texts, with_fields, word_hashes
 
 MAX_LIGHT = 26
 HOT_SHARE = 1 << 22
@@ -118,7 +118,7 @@ def common_shingles(docs: DataFrame, spec: Spec) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array([*h[often].view(np.int64).tolist(), None], pa.int64()), pa.array([*n[often].tolist(), 0], pa.int64()),
                                               pa.array([0] * int(often.sum()) + [total], pa.int64())], schema=out)
 
-    sums = stage(docs.mapInArrow(run, schema).groupBy("h").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "shingle_counts")
+    sums = stage(docs.mapInArrow(lean(run), schema).groupBy("h").agg(F.sum("n").alias("n"), F.sum("total").alias("total")), "shingle_counts")
     total = sums.where("h is null").select("total").first()
     if not total:
         return np.empty(0, np.uint64)
@@ -206,7 +206,7 @@ def list_entries(sets: DataFrame, spec: Spec, x: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), *[pa.array(np.concatenate(v).astype(np.int32)) for v in (c, n, at)],
                                                   pa.array(np.concatenate(who).astype(np.int64))], schema=out)
 
-    return sets.select("id", "n", "first").mapInArrow(run, ENTRY)
+    return sets.select("id", "n", "first").mapInArrow(lean(run), ENTRY)
 
 
 SHARED = T.StructType([*ENTRY.fields, T.StructField("hub", T.LongType()), T.StructField("hub_n", T.IntegerType()), T.StructField("place", T.LongType())])
@@ -243,7 +243,7 @@ def shared_entries(entries: DataFrame) -> DataFrame:
         if held is not None and held.column("place")[0].as_py() > 0:
             yield held
 
-    return dealt.mapInArrow(run, SHARED)
+    return dealt.mapInArrow(lean(run), SHARED)
 
 
 def _ordered(x: str, y: str) -> list:
@@ -341,7 +341,7 @@ def cross_pairs(lists: DataFrame, comps: DataFrame, spec: Spec, x: int) -> DataF
         if rest is not None:
             yield pairs(rest)
 
-    got = stage(dealt.mapInArrow(run, CROSS), "cross")
+    got = stage(dealt.mapInArrow(lean(run), CROSS), "cross")
     long = got.where("y is null").select("key", "x", "nx", "at", "comp")
     own = long.select("key", "comp").distinct()
     met = own.select("key", F.col("comp").alias("c1")).join(own.select("key", F.col("comp").alias("c2")), "key").where("c1 < c2")
@@ -422,7 +422,7 @@ def verify(docs: DataFrame, pairs: DataFrame, class_of: DataFrame, spec: Spec) -
                     ok.append(bool(spec.linked(int((own[place] == other).sum()), len(own), len(other))))
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(ok, pa.bool_())], schema=out)
 
-    return dealt.mapInArrow(run, TESTED).distinct()
+    return dealt.mapInArrow(lean(run), TESTED).distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import arrow_schema, blocks_of, extend, map_rows, ship_package, stage, texts, with_fields, with_row_key
+from credere.llm.common import arrow_schema, blocks_of, extend, lean, map_rows, ship_package, stage, texts, with_fields, with_row_key
 
 BUCKETS = 1 << 15
 LANG_BLOCK = 8         # languages scored at a time
@@ -150,7 +150,7 @@ def fit_text_model(labelled: DataFrame, html: bool = False) -> TextModel:
 
     blocks = []
     if langs:
-        counts = labelled.select("lang", "text").mapInArrow(run, schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+        counts = labelled.select("lang", "text").mapInArrow(lean(run), schema).groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
         counts = stage(counts.repartitionByRange("lang").sortWithinPartitions("lang"), "trigrams")
         for first in range(0, len(langs), LANG_BLOCK):
             width = min(LANG_BLOCK, len(langs) - first)

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from credere.llm.common import (arrow_schema, extend, hash_pairs, map_rows, mix, stage, texts,
+from credere.llm.common import (arrow_schema, extend, hash_pairs, lean, map_rows, mix, stage, texts,
                                 with_fields, with_row_key)
 
 SHARD_KEYS = 1 << 18
@@ -196,7 +196,7 @@ def probe(index: DataFrame, lines: DataFrame, shards: int, min_docs: int) -> Dat
                     drop = pa.array(shard.count(h1, h2) >= min_docs)
                     yield pa.RecordBatch.from_arrays([part.column(c).filter(drop) for c in ("id", "h1", "h2")], schema=out)
 
-    return dealt.mapInArrow(run, schema)
+    return dealt.mapInArrow(lean(run), schema)
 
 
 def common_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
