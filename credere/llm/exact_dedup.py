@@ -1,14 +1,18 @@
 """Exact dedup: of documents whose texts agree up to white space, the smallest id stays.
 
 Method: an extendible-hash index on shared files. The directory doubles (one more leading hash bit)
-until no bucket holds more than ``BUCKET_KEYS`` keys; a bucket that fits earlier keeps its shorter
-prefix and several directory slots point to it. Owner tasks each take a range of directory slots.
-Keys of one hash are chained, and two texts are one key only if their bytes are equal: the
-comparison is the equality of a grouping key, so copies meet in map-side partial aggregates and a
-text that a third of all documents hold leaves each task once.
-
-Only DataFrame functions run here. The documents are read twice (hashing, comparing bytes); texts
-are shuffled once, everything else carries 64-bit hashes and digests.
+until no bucket holds more keys than it has room for; a bucket that fits earlier keeps its shorter
+prefix and several directory slots point to it. The directory gives every row its bucket, and
+every run of consecutive buckets its owner. An owner task takes the rows of its key range, chains the keys
+of one hash, compares whole texts byte by byte, and writes its answers to the index, which is the result.
+
+* The directory is broadcast: a bucket's room grows with the number of keys beyond ``MAX_BUCKETS`` buckets, so
+  that the directory stays bounded.
+* A hash with more than 1/``HOT_SHARE`` of all rows (fewer than ``HOT_SHARE`` at any size) never goes to one
+  owner whole: its texts meet in map-side partial aggregates, so that each task sends a text once, and the
+  answers, without texts, are broadcast to the rows.
+
+Only DataFrame functions run here. Rows are told apart by file and place, not by the caller's id.
 """
 
 from __future__ import annotations
@@ -16,11 +20,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from credere.llm.common import stage
+from credere.llm.common import stage, with_row_key
 
-BUCKET_KEYS = 1 << 15
+BUCKET_KEYS = 1 << 10
+MAX_BUCKETS = 1 << 17
 HOT_SHARE = 4096
-OWNER_SLOTS = 4
+HOT_LEAST = 256     # copies that one owner can always take
 
 
 def normal_text(text: Column) -> Column:
@@ -28,6 +33,11 @@ def normal_text(text: Column) -> Column:
     return F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x09-\x0D][\x20\x09-\x0D]*|\x20[\x20\x09-\x0D]+", " ")
 
 
+def key_hash(norm: Column) -> Column:
+    """The 64 bits that place a text in the index."""
+    return F.xxhash64(norm)
+
+
 def prefix(hash_col: str, bits: Column | int) -> Column:
     """The leading bits of a 64-bit hash (0 bits: 0). Split in two shifts: a shift by 64 would be one by 0."""
     bits = F.lit(bits) if isinstance(bits, int) else bits
@@ -35,28 +45,34 @@ def prefix(hash_col: str, bits: Column | int) -> Column:
 
 
 def directory(keys: DataFrame) -> tuple[DataFrame, int]:
-    """((slot, bucket, depth), global depth) over the distinct hashes in column ``h``.
+    """((slot, bucket, depth, owner), global depth) over the distinct hashes in column ``h``.
 
-    ``bucket`` is the first slot that points to the bucket, ``depth`` its own number of bits.
+    ``bucket`` is the first slot that points to the bucket, ``depth`` its own number of bits. An
+    owner takes consecutive buckets, about as many keys as one bucket has room for.
     """
     depth, total = 0, keys.count()
-    while total > BUCKET_KEYS << depth:
+    room = max(BUCKET_KEYS, -(-total // MAX_BUCKETS))
+    while total > room << depth:
         depth += 1
     while True:  # hashes are spread evenly, so this doubles once or twice
         cells = keys.groupBy(prefix("h", depth).alias("slot")).agg(F.count("*").alias("n"))
-        if (cells.agg(F.max("n")).first()[0] or 0) <= BUCKET_KEYS:
+        if (cells.agg(F.max("n")).first()[0] or 0) <= room:
             break
         depth += 1
     cells = stage(cells, "hash_cells")
     # every ancestor of every cell with its keys; a bucket is the shortest prefix that fits
     up = cells.select("slot", "n", F.explode(F.sequence(F.lit(0), F.lit(depth))).alias("d"))
     node = F.call_function("shiftrightunsigned", F.col("slot"), (F.lit(depth) - F.col("d")).cast("int"))
-    fits = up.withColumn("node", node).groupBy("d", "node").agg(F.sum("n").alias("n")).where(F.col("n") <= BUCKET_KEYS)
+    fits = up.withColumn("node", node).groupBy("d", "node").agg(F.sum("n").alias("n")).where(F.col("n") <= room)
     own = (up.withColumn("node", node).join(fits.select("d", "node"), ["d", "node"])
-           .groupBy("slot").agg(F.min("d").alias("depth")))
+           .groupBy("slot").agg(F.min("d").alias("depth"), F.first("n").alias("n")))
     start = F.call_function("shiftleft", F.call_function("shiftrightunsigned", F.col("slot"), (F.lit(depth) - F.col("depth")).cast("int")),
                             (F.lit(depth) - F.col("depth")).cast("int"))
-    return own.select("slot", start.alias("bucket"), "depth"), depth
+    slots = own.select("slot", start.alias("bucket"), "depth", "n")
+    buckets = slots.groupBy("bucket").agg(F.sum("n").alias("keys"))  # a few times MAX_BUCKETS at most
+    before = F.sum("keys").over(Window.orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1))
+    owners = buckets.select("bucket", F.floor(F.coalesce(before, F.lit(0)) / room).alias("owner"))
+    return stage(slots.drop("n").join(owners, "bucket").select("slot", "bucket", "depth", "owner"), "hash_directory"), depth
 
 
 def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -64,36 +80,35 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     A null text is empty; empty texts are equal to each other. Rows repeated with their id keep one
     of them. A null id counts as larger than all others: it stays only where the group has no
-    other, with a null ``keep_id``. ``chain`` is 0 unless different texts share a hash. An empty table gives an empty result.
+    other, with a null ``keep_id``. ``chain`` is 0 unless different texts share a hash. Very long texts are
+    compared whole; extra columns are ignored; an empty table gives an empty result.
     """
-    norm = normal_text(F.col(text_col))
-    texts = docs.select(F.col(id_col).alias("id"), norm.alias("norm")).withColumn("h", F.xxhash64("norm"))
-    entries = stage(texts.select("id", "h", F.sha2(F.col("norm").cast("binary"), 256).alias("sha")), "hash_entries")
-    keys = entries.groupBy("h").agg(F.count("*").alias("n"))
+    rows = with_row_key(docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text")), "row")
+    texts = rows.select("id", "row", normal_text(F.col("text")).alias("norm")).withColumn("h", key_hash(F.col("norm")))
+    sha = F.sha2(F.col("norm").cast("binary"), 256).alias("sha")
+    keys = stage(texts.groupBy("h").agg(F.count("*").alias("n")), "hash_keys")
     slots, depth = directory(keys)
-
-    # byte comparison: norm is a grouping key
-    same_bytes = (texts.groupBy("h", "norm").agg(F.min("id").alias("keep_id"), F.count("*").alias("group_size"))
-                  .select("h", F.sha2(F.col("norm").cast("binary"), 256).alias("sha"), "keep_id", "group_size"))
-    chained = same_bytes.withColumn("chain", F.row_number().over(Window.partitionBy("h").orderBy("sha")) - 1)
-    owner = F.floor(F.col("slot") / OWNER_SLOTS)
-    index = stage(chained.withColumn("slot", prefix("h", depth)).join(slots, "slot").withColumn("owner", owner)
-                  .repartition("owner").sortWithinPartitions("owner", "h", "chain"), "hash_index")
-
-    # a hash with more than 1/HOT_SHARE of all rows: fewer than HOT_SHARE exist, so they are broadcast
-    rows = F.lit(entries.count())
-    ids = (entries.groupBy("id", "h", "sha").agg(F.count("*").alias("copies"))
-           .withColumn("slot", prefix("h", depth)).withColumn("owner", owner).drop("slot"))
-    hot = F.broadcast(index.groupBy("h").agg(F.sum("group_size").alias("n")).where(F.col("n") * HOT_SHARE > rows).select("h"))
-    told = ids.join(hot, "h").drop("owner").join(F.broadcast(index.join(hot, "h", "left_semi")), ["h", "sha"])
-    found = (ids.join(hot, "h", "left_anti").repartition("owner")
-             .join(index.join(hot, "h", "left_anti").repartition("owner"), ["owner", "h", "sha"]))
-    cols = ["id", "copies", "keep_id", "group_size", "sha", "bucket", "chain"]
-    each = (told.select(cols).unionByName(found.select(cols))
-            .select("*", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies"))).alias("copy")))
-    return each.select("id", "keep_id", "group_size",
-                       (F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"),
-                       F.col("sha").alias("text_sha256"), "bucket", "chain")
+    total = keys.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    hot = F.broadcast(keys.where((F.col("n") * HOT_SHARE > total) & (F.col("n") >= HOT_LEAST)).select("h"))
+    placed = texts.withColumn("slot", prefix("h", depth)).join(F.broadcast(slots.select("slot", "bucket", "owner")), "slot")
+    cols = ["id", "keep_id", "group_size", "kept", "sha", "bucket", "chain"]
+
+    # owner tasks: one exchange, then everything happens within a key range
+    ranked = Window.partitionBy("owner", "h", "norm").orderBy(F.col("id").isNull(), "id", "row")
+    every = ranked.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    owned = (placed.join(hot, "h", "left_anti").drop("slot").repartition("owner")
+             .select("*", F.first("id").over(every).alias("keep_id"), F.count("*").over(every).alias("group_size"), (F.row_number().over(ranked) == 1).alias("kept"))
+             .withColumn("chain", F.dense_rank().over(Window.partitionBy("owner", "h").orderBy("norm")) - 1)
+             .withColumn("sha", sha).select(cols))
+
+    # hot hashes: the text is a grouping key, so bytes are compared in partial aggregates
+    many = placed.join(hot, "h")
+    met = many.groupBy("h", "norm").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("least"), F.count("*").alias("group_size"))
+    answers = stage(met.select("h", sha, "least", "group_size", (F.row_number().over(Window.partitionBy("h").orderBy("norm")) - 1).alias("chain")), "hash_hot")
+    told = (many.select("id", "row", "h", "bucket", sha).join(F.broadcast(answers), ["h", "sha"])
+            .select("id", F.col("least.id").alias("keep_id"), "group_size", (F.col("row") == F.col("least.row")).alias("kept"), "sha", "bucket", "chain"))
+    index = stage(owned.unionByName(told), "hash_index")
+    return index.withColumnRenamed("sha", "text_sha256")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

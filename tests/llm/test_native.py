@@ -193,10 +193,12 @@ def groups(rows):
     return out
 
 
-@pytest.mark.parametrize("bucket", [None, 2])
-def test_exact_groups(spark, monkeypatch, bucket):
+@pytest.mark.parametrize("bucket, least", [(None, None), (2, None), (2, 2), (None, 1)])
+def test_exact_groups(spark, monkeypatch, bucket, least):
     if bucket:
         monkeypatch.setattr(exact_dedup, "BUCKET_KEYS", bucket)
+    if least:
+        monkeypatch.setattr(exact_dedup, "HOT_LEAST", least)  # groups of so many rows meet in partial aggregates
     rows = awkward() + [(2000 + i, "copy  of\tone", None, None, 1) for i in range(60)] + [(2000, "copy of one", None, None, 1)] * 2
     rows += [(None, "copy of one", None, None, 1), (None, "none", None, None, 1), (None, "none ", None, None, 1), (None, "none", None, None, 1)]
     df = frame(spark, rows, ("h", "slot", "norm", "keep_id"))
@@ -222,6 +224,32 @@ def test_directory_doubles_until_buckets_fit(spark, monkeypatch):
     assert max(size.values()) <= 5 and max(b.depth for b in at.values()) == depth and len({b.depth for b in at.values()}) > 1
 
 
+def test_owners_take_consecutive_buckets_and_answer_for_them(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "BUCKET_KEYS", 8)
+    monkeypatch.setattr(exact_dedup, "MAX_BUCKETS", 16)   # buckets have more room then
+    keys = spark.range(400).selectExpr("xxhash64(id) as h")
+    slots, _ = exact_dedup.directory(keys)
+    owners = [(r.bucket, r.owner) for r in slots.select("bucket", "owner").distinct().orderBy("bucket").collect()]
+    assert [o for _, o in owners] == sorted(o for _, o in owners) and len({o for _, o in owners}) > 4 and len({b for b, _ in owners}) <= 64
+    assert exact_dedup.directory(keys.limit(0))[0].collect() == []
+
+
+def test_different_texts_of_one_hash_are_chained(spark, monkeypatch):
+    monkeypatch.setattr(exact_dedup, "key_hash", lambda norm: exact_dedup.F.length(norm).cast("long") * 0 + 7)
+    rows = [(i, f"text {i % 5}", "en", "s", 1) for i in range(40)] + [(None, "text 1", None, None, 1), (99, None, None, None, 1)]
+    for least in (256, 2):
+        monkeypatch.setattr(exact_dedup, "HOT_LEAST", least)
+        got = exact_dedup.exact_groups(frame(spark, rows)).collect()
+        assert Counter((r.id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == groups(rows)
+        assert {r.chain for r in got} == set(range(6)) and len({(r.chain, r.text_sha256) for r in got}) == 6
+
+
+def test_a_third_of_the_ids_null(spark):
+    rows = [(i if i % 3 else None, f"copy {i % 7}", "en", "s", 1) for i in range(900)]
+    got = exact_dedup.exact_groups(frame(spark, rows)).collect()
+    assert Counter((r.id, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in got) == groups(rows)
+
+
 def test_exact_empty_table(spark):
     assert exact_dedup.exact_groups(frame(spark, [])).collect() == []
     assert exact_dedup.drop_copies(frame(spark, [])).collect() == []
