@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from credere.operators import features as T
 from credere.operators import train as M
 from credere.plans import catalog
+from credere.plans.catalog_features import staged_clean, train_test
 from credere.profile import LINEITEM as PR
 
 
@@ -76,3 +77,24 @@ def test_fits_above_the_bins(spark, wide, query):
     rows = catalog.queries()[query](spark, wide).select("l_orderkey", "prediction", "score").collect()
     assert rows and all(r.score is None or math.isfinite(r.score) for r in rows)
     assert {r.prediction for r in rows} <= {0.0, 1.0, None}
+
+
+@pytest.fixture(scope="module")
+def held_out(spark, wide):
+    """Keys of the held-out rows whose categories all occur on the training side: what a fit has to score."""
+    train, test = train_test(spark, wide)
+    test = test.dropna(how="any", subset=PR.categorical)
+    for c in PR.categorical:
+        test = test.join(train.select(c).distinct(), c, "left_semi")
+    return sorted(tuple(r) for r in test.select("l_orderkey", "l_linenumber", "label").collect())
+
+
+def _scores_all(spark, wide, held_out, query):
+    rows = catalog.queries()[query](spark, wide).select("l_orderkey", "l_linenumber", "label", "prediction", "score").collect()
+    assert held_out and sorted((r.l_orderkey, r.l_linenumber, r.label) for r in rows) == held_out
+    assert all(r.prediction in (0.0, 1.0) and math.isfinite(r.score) for r in rows)
+
+
+@pytest.mark.parametrize("query", ["fit_fm"])
+def test_fits_score_all_rows_above_the_bins(spark, wide, held_out, query):
+    _scores_all(spark, wide, held_out, query)
