@@ -95,6 +95,6 @@ def _scores_all(spark, wide, held_out, query):
     assert all(r.prediction in (0.0, 1.0) and math.isfinite(r.score) for r in rows)
 
 
-@pytest.mark.parametrize("query", ["fit_fm", "fit_gbt", "fit_rf", "fit_lr"])
+@pytest.mark.parametrize("query", ["fit_fm", "fit_gbt", "fit_rf", "fit_lr", "fit_svm"])
 def test_fits_score_all_rows_above_the_bins(spark, wide, held_out, query):
     _scores_all(spark, wide, held_out, query)
