@@ -98,3 +98,14 @@ def _scores_all(spark, wide, held_out, query):
 @pytest.mark.parametrize("query", ["fit_fm", "fit_gbt", "fit_rf", "fit_lr", "fit_svm"])
 def test_fits_score_all_rows_above_the_bins(spark, wide, held_out, query):
     _scores_all(spark, wide, held_out, query)
+
+
+def test_stream_scores_all_rows_above_the_bins(spark, wide):
+    rows, (train, _) = staged_clean(spark, wide), train_test(spark, wide)
+    for c in PR.categorical:
+        rows = rows.join(train.select(c, F.lit(True).alias(f"seen_{c}")).dropna().distinct(), c, "left")
+    rejected = F.coalesce(*[F.when(F.col(f"seen_{c}").isNull(), F.lit(True)) for c in PR.categorical], F.lit(False))
+    want = sorted(tuple(r) for r in rows.select("l_orderkey", "l_linenumber", rejected).collect())
+    got = catalog.queries()["stream_score"](spark, wide).collect()
+    assert len({r[2] for r in want}) == 2 and sorted((r.l_orderkey, r.l_linenumber, r.rejected) for r in got) == want
+    assert all((r.prediction is None) if r.rejected else r.prediction in (0.0, 1.0) for r in got)
