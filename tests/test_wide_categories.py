@@ -109,3 +109,13 @@ def test_stream_scores_all_rows_above_the_bins(spark, wide):
     got = catalog.queries()["stream_score"](spark, wide).collect()
     assert len({r[2] for r in want}) == 2 and sorted((r.l_orderkey, r.l_linenumber, r.rejected) for r in got) == want
     assert all((r.prediction is None) if r.rejected else r.prediction in (0.0, 1.0) for r in got)
+
+
+def test_sweep_runs_all_models_above_the_bins(spark, wide):
+    def cached():
+        return set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    before = cached()
+    got = catalog.queries()["model_sweep"](spark, wide).collect()
+    assert {r.name for r in got} == set(M.MODEL_NAMES) and len(got) == 30 and all(math.isfinite(r.value) for r in got)
+    assert cached() <= before   # the training frame is released
